@@ -86,8 +86,8 @@ def invoice_variances(df: DataFrame, price_tolerance: float = PRICE_TOLERANCE_PC
     ordered, billed = F.col("POUnitPrice"), F.col("InvoiceUnitPrice")
     received, invoiced = F.col("CalculatedReceivedQuantityAtInvoiceDate"), F.col("InvoicedQuantity")
     gap = (invoiced - received).cast("decimal(18,3)")
-    price_pct = F.round((billed.cast("double") / ordered.cast("double") - 1) * 100.0, 2)
-    qty_pct = F.round(gap.cast("double") / received.cast("double") * 100.0, 2)
+    price_pct = F.round((billed - ordered) * 100 / ordered, 2).cast("double")
+    qty_pct = F.round(gap * 100 / received, 2).cast("double")
     out = df.withColumns({
         "CalculatedPriceVarianceAmount": F.when(ordered > 0, (billed - ordered).cast("decimal(18,4)")),
         "CalculatedPriceVariancePercentage": F.when(ordered > 0, price_pct),

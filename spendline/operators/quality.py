@@ -127,7 +127,7 @@ def summary(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------------- rule templates
 
-def differ_rows(df: DataFrame, a: str | Column, b: str | Column, eps: float) -> Column:
+def differ_rows(a: str | Column, b: str | Column, eps: float) -> Column:
     """Violation: the two amounts differ by more than eps, or exactly one of them is NULL."""
     x = (F.col(a) if isinstance(a, str) else a).cast("double")
     y = (F.col(b) if isinstance(b, str) else b).cast("double")

@@ -77,7 +77,7 @@ def contract_price_variance(df: DataFrame, rates: DataFrame, tolerance: float =
     })
     paid, agreed = F.col("UnitPriceEUR"), F.col("ContractNegotiatedUnitPriceEURAtPODate")
     comparable = F.col("ValidContractAtPOFlag") & paid.isNotNull() & agreed.isNotNull() & F.coalesce(agreed > 0, F.lit(False))
-    pct = F.round((paid.cast("double") / agreed.cast("double") - 1) * 100.0, 2)
+    pct = F.round((paid - agreed) * 100 / agreed, 2).cast("double")
     return out.withColumn("ContractPriceComparisonEligibleFlag", comparable).withColumns({
         "ContractPriceVarianceEUR": F.when(F.col("ContractPriceComparisonEligibleFlag"),
                                            (paid - agreed).cast("decimal(18,4)")),

@@ -59,7 +59,11 @@ def prior_stats(df: DataFrame, keys: Sequence[str], date: str, tie: str, value:
         "__hi": F.greatest("__dhi", F.max(value).over(inside)),
     })
     n, s, q = F.col("__n").cast("double"), F.col("__s").cast("double"), F.col("__q").cast("double")
-    var = F.greatest(F.lit(0.0), (q - s * s / n) / (n - 1))
+    # n*q - s*s cancels badly in doubles where prices hardly vary: exact decimals as long as they fit.
+    s_exact = F.col("__s").try_cast("decimal(18,4)")
+    nq = F.col("__n").try_cast("decimal(8,0)") * F.col("__q").try_cast("decimal(27,8)")
+    spread = F.coalesce((nq - s_exact * s_exact).cast("double"), n * q - s * s)
+    var = F.greatest(F.lit(0.0), spread) / (n * (n - 1))
     stats = {
         f"{prefix}HistoryCount": F.col("__n"),
         f"{prefix}HistoricalAvgPriceEUR": F.when(F.col("__n") > 0, s / n),
