@@ -38,15 +38,16 @@ def prior_stats(df: DataFrame, keys: Sequence[str], date: str, tie: str, value:
     decimals, so the result does not depend on the order of addition.
     """
     by = [*keys, date]
-    x = F.col(value).cast("decimal(20,4)")
+    x = F.col(value).cast("decimal(18,4)")
     xx = (x * x).cast("decimal(28,8)")
+    wide = "decimal(36,8)"      # leaves room for one addition without losing digits
     daily = df.groupBy(*by).agg(
-        F.count(value).alias("__n"), F.sum(x).alias("__s"), F.sum(xx).alias("__q"),
+        F.count(value).alias("__n"), F.sum(x).alias("__s"), F.sum(xx).cast(wide).alias("__q"),
         F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     before = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
     carried = daily.select(
         *by, F.sum("__n").over(before).alias("__dn"), F.sum("__s").over(before).alias("__ds"),
-        F.sum("__q").over(before).alias("__dq"), F.min("__lo").over(before).alias("__dlo"),
+        F.sum("__q").over(before).cast(wide).alias("__dq"), F.min("__lo").over(before).alias("__dlo"),
         F.max("__hi").over(before).alias("__dhi"))
     inside = Window.partitionBy(*by).orderBy(tie).rowsBetween(Window.unboundedPreceding, -1)
     joined = df.join(carried, by, "inner")
@@ -54,7 +55,7 @@ def prior_stats(df: DataFrame, keys: Sequence[str], date: str, tie: str, value:
     out = joined.withColumns({
         "__n": zero(F.col("__dn")) + F.count(value).over(inside),
         "__s": zero(F.col("__ds")) + zero(F.sum(x).over(inside)),
-        "__q": zero(F.col("__dq")) + zero(F.sum(xx).over(inside)),
+        "__q": zero(F.col("__dq")) + zero(F.sum(xx).over(inside).cast(wide)),
         "__lo": F.least("__dlo", F.min(value).over(inside)),
         "__hi": F.greatest("__dhi", F.max(value).over(inside)),
     })
