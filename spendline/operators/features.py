@@ -122,9 +122,9 @@ HISTORY_KEYS = {"Material": ["MaterialID"], "SupplierMaterial": ["SupplierID", "
 
 def price_features(po_fact: DataFrame, as_of: str) -> DataFrame:
     """Deviation of each price from strictly earlier prices, and from its contract."""
-    out = pricing_base(po_fact, as_of)
+    base = out = pricing_base(po_fact, as_of)
     for prefix, keys in HISTORY_KEYS.items():
-        out = prior_stats(out, keys, "OrderDate", "POItemID", "UnitPriceEUR", prefix, extremes=prefix != "Category")
+        out = prior_stats(out, keys, "OrderDate", "POItemID", "UnitPriceEUR", prefix, extremes=prefix != "Category", history=base)
     price = F.col("UnitPriceEUR").cast("double")
     cols: dict[str, Column] = {}
     for prefix in HISTORY_KEYS:

@@ -186,18 +186,19 @@ def binary_metrics(df: DataFrame, score: str, label: str, threshold: float) -> D
 def univariate_auc(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """Rank-sum AUC of every feature on its own, whatever its direction (max of AUC and 1 - AUC).
 
-    Features are unpivoted and collapsed to distinct values; per feature the values below each
-    value are counted by a window over distinct values.
+    Features are unpivoted and collapsed to distinct values. One distributed running total over
+    (feature, value) counts the negatives below each value; a feature's own count is the distance to
+    where the feature begins, so no task holds all values of a feature.
     """
-    from pyspark.sql import Window
     pairs = F.array(*[F.struct(F.lit(c).alias("FeatureName"), F.col(c).cast("double").alias("v")) for c in columns])
     points = (df.select(F.col(label).cast("long").alias("y"), F.inline(pairs)).where(F.col("v").isNotNull())
               .groupBy("FeatureName", "v").agg(F.count("*").alias("n"), F.sum("y").alias("p")))
-    below = Window.partitionBy("FeatureName").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    neg = F.col("n") - F.col("p")
-    wins = F.col("p") * (F.coalesce(F.sum(neg).over(below), F.lit(0)) + neg / 2.0)
-    out = points.withColumn("w", wins).groupBy("FeatureName").agg(
-        F.sum("w").alias("w"), F.sum("p").alias("P"), F.sum(F.col("n") - F.col("p")).alias("N"))
+    points = reliable(points.withColumn("neg", F.col("n") - F.col("p")))
+    ladder = cumulative_by_value(points, ["FeatureName", "v"], F.col("neg")).withColumn("below", F.col("Cumulative") - F.col("Weight"))
+    starts = ladder.groupBy("FeatureName").agg(F.min("below").alias("start"))
+    steps = points.join(ladder.select("FeatureName", "v", "below"), ["FeatureName", "v"]).join(F.broadcast(starts), "FeatureName")
+    wins = F.col("p") * (F.col("below") - F.col("start") + F.col("neg") / 2.0)
+    out = steps.groupBy("FeatureName").agg(F.sum(wins).alias("w"), F.sum("p").alias("P"), F.sum("neg").alias("N"))
     auc = F.try_divide(F.col("w"), (F.col("P") * F.col("N")).cast("double"))
     return out.select("FeatureName", auc.alias("AUC"), F.greatest(auc, 1 - auc).alias("DirectionFreeAUC"))
 

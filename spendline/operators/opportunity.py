@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from spendline.functions.exprs import pct, surrogate_key
-from spendline.operators.aggregates import rank_within, with_total
+from spendline.operators.aggregates import with_total
 from spendline.operators.joins import asof_versions, lookup
 from spendline.operators.quality import Rule, key_rule, results, row_count_rule, row_rules
-from spendline.operators.windows import global_percent_rank, global_rank
+from spendline.operators.windows import global_percent_rank, global_rank, rank_within
 from spendline.sources.tables import from_rows
 
 # Fixed values

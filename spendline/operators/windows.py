@@ -28,48 +28,48 @@ def rolling_range(df: DataFrame, key: str, year: str, back: int, column: str, pr
 
 
 def prior_stats(df: DataFrame, keys: Sequence[str], date: str, tie: str, value: str, prefix: str,
-                extremes: bool = True) -> DataFrame:
+                extremes: bool = True, history: DataFrame | None = None) -> DataFrame:
     """Count, mean, sample deviation (and min / max) over all strictly earlier rows of the key.
 
     "Earlier" is by (date, tie). A key may hold a third of the table, so no task sees a whole key:
     every (key, day) is summarised with map-side combine, the daily summaries are accumulated over
     the days before (at most one row per calendar day and key), and only the rows of one day are
-    ordered within a task. Both windows and the join share the key columns, and sums are exact
-    decimals, so the result does not depend on the order of addition.
+    ordered within a task. Deviations are taken from the key's first daily mean, so the variance of
+    nearly constant prices does not drown in rounding. `history` is the frame to summarise (same
+    rows as `df`): when several statistics are chained, passing the common base spares recomputing
+    the chain for each summary.
     """
     by = [*keys, date]
-    x = F.col(value).cast("decimal(18,4)")
-    xx = (x * x).cast("decimal(28,8)")
-    wide = "decimal(36,8)"      # leaves room for one addition without losing digits
-    daily = df.groupBy(*by).agg(
-        F.count(value).alias("__n"), F.sum(x).alias("__s"), F.sum(xx).cast(wide).alias("__q"),
+    refs = {c: f"__by_{c}" for c in by}
+    x = F.col(value).cast("double")
+    daily = (df if history is None else history).groupBy(*[F.col(c).alias(r) for c, r in refs.items()]).agg(
+        F.count(value).alias("__n"), F.avg(x).alias("__m"), F.var_pop(x).alias("__v"),
         F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    before = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
-    carried = daily.select(
-        *by, F.sum("__n").over(before).alias("__dn"), F.sum("__s").over(before).alias("__ds"),
-        F.sum("__q").over(before).cast(wide).alias("__dq"), F.min("__lo").over(before).alias("__dlo"),
-        F.max("__hi").over(before).alias("__dhi"))
+    days = Window.partitionBy(*[refs[k] for k in keys]).orderBy(refs[date])
+    whole = days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = days.rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.col("__m") - F.col("__c")
+    carried = (daily.withColumn("__c", F.first("__m", ignorenulls=True).over(whole))
+               .withColumns({"__d1": F.col("__n") * shift, "__d2": F.col("__n") * (F.col("__v") + shift * shift)})
+               .select(*refs.values(), "__c", *[f(c).over(before).alias(o) for f, c, o in (
+                   (F.sum, "__n", "__dn"), (F.sum, "__d1", "__ds"), (F.sum, "__d2", "__dq"), (F.min, "__lo", "__dlo"), (F.max, "__hi", "__dhi"))]))
     inside = Window.partitionBy(*by).orderBy(tie).rowsBetween(Window.unboundedPreceding, -1)
-    joined = df.join(carried, by, "inner")
+    joined = df.join(carried, [F.col(c).eqNullSafe(F.col(r)) for c, r in refs.items()], "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
+    dev = x - F.col("__c")
     out = joined.withColumns({
         "__n": zero(F.col("__dn")) + F.count(value).over(inside),
-        "__s": zero(F.col("__ds")) + zero(F.sum(x).over(inside)),
-        "__q": zero(F.col("__dq")) + zero(F.sum(xx).over(inside).cast(wide)),
+        "__s": zero(F.col("__ds")) + zero(F.sum(dev).over(inside)),
+        "__q": zero(F.col("__dq")) + zero(F.sum(dev * dev).over(inside)),
         "__lo": F.least("__dlo", F.min(value).over(inside)),
         "__hi": F.greatest("__dhi", F.max(value).over(inside)),
     })
-    n, s, q = F.col("__n").cast("double"), F.col("__s").cast("double"), F.col("__q").cast("double")
-    # n*q - s*s cancels badly in doubles where prices hardly vary: exact decimals as long as they fit.
-    s_exact = F.col("__s").try_cast("decimal(18,4)")
-    nq = F.col("__n").try_cast("decimal(8,0)") * F.col("__q").try_cast("decimal(27,8)")
-    spread = F.coalesce((nq - s_exact * s_exact).cast("double"), n * q - s * s)
-    var = F.greatest(F.lit(0.0), spread) / (n * (n - 1))
+    n, s, q = F.col("__n"), F.col("__s"), F.col("__q")
+    var = F.greatest(F.lit(0.0), q - s * s / n) / (n - 1)
     stats = {
-        f"{prefix}HistoryCount": F.col("__n"),
-        f"{prefix}HistoricalAvgPriceEUR": F.when(F.col("__n") > 0, s / n),
-        f"{prefix}HistoricalStdDevPriceEUR": F.when(F.col("__n") > 1, F.when(F.col("__lo") == F.col("__hi"), F.lit(0.0))
-                                                    .otherwise(F.sqrt(var))),
+        f"{prefix}HistoryCount": n,
+        f"{prefix}HistoricalAvgPriceEUR": F.when(n > 0, F.col("__c") + s / n),
+        f"{prefix}HistoricalStdDevPriceEUR": F.when(n > 1, F.when(F.col("__lo") == F.col("__hi"), F.lit(0.0)).otherwise(F.sqrt(var))),
     }
     if extremes:
         stats[f"{prefix}HistoricalMinPriceEUR"] = F.col("__lo")
@@ -109,17 +109,30 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
             .withColumn(name, (place + F.col("__off")).cast("long")).select(*df.columns, name))
 
 
-def cumulative_by_value(df: DataFrame, value: str, weight: Column, name: str = "Cumulative") -> DataFrame:
-    """Distinct values of a column with the total weight at or below each (NULL sorts first)."""
-    dense = df.groupBy(value).agg(F.sum(weight).alias("Weight"))
-    placed = _placed(dense, [F.col(value).asc_nulls_first()])
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """row_number per key for a total order, without a window over a whole key.
+
+    The table is ranked by (key, order) as a whole; the rank within a key is the distance to the
+    key's first rank, which a map-side combined aggregate finds.
+    """
+    ranked = reliable(global_rank(df, [*[F.col(k).asc_nulls_first() for k in keys], *order], "__rank"))
+    starts = ranked.groupBy(*[F.col(k).alias(f"__by_{k}") for k in keys]).agg(F.min("__rank").alias("__start"))
+    joined = ranked.join(starts, [F.col(k).eqNullSafe(F.col(f"__by_{k}")) for k in keys], "left")
+    return joined.withColumn(name, F.col("__rank") - F.col("__start") + 1).select(*df.columns, name)
+
+
+def cumulative_by_value(df: DataFrame, value: str | Sequence[str], weight: Column, name: str = "Cumulative") -> DataFrame:
+    """Distinct values of a column (or of several) with the total weight at or below each (NULL sorts first)."""
+    values = [value] if isinstance(value, str) else list(value)
+    dense = df.groupBy(*values).agg(F.sum(weight).alias("Weight"))
+    placed = _placed(dense, [F.col(v).asc_nulls_first() for v in values])
     totals = placed.groupBy("__part").agg(F.sum("Weight").alias("__c"))
     w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__part", F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__off"))
     within = Window.partitionBy("__part").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
     return (placed.withColumn("__run", F.sum("Weight").over(within))
             .join(F.broadcast(offsets), "__part")
-            .select(value, "Weight", (F.col("__run") + F.col("__off")).alias(name)))
+            .select(*values, "Weight", (F.col("__run") + F.col("__off")).alias(name)))
 
 
 def global_percent_rank(df: DataFrame, column: str, name: str, scale: float = 100.0) -> DataFrame:

@@ -470,12 +470,12 @@ def _(m):
     return out.withColumns({"xAverage": F.round("xAverage", 6), "xStdDev": F.round("xStdDev", 6)})
 
 
-@query("P84_prior_stats", "POItemID:string n:long mean:double sd:double lo:double hi:double", """
-    SELECT POItemID, CategoryHistoryCount AS n, CategoryAvg AS mean, round(CategorySd, 2) AS sd, CategoryMin AS lo, CategoryMax AS hi FROM price_hist""")
+@query("P84_prior_stats", "POItemID:string n:long total:double sd:double lo:double hi:double", """
+    SELECT POItemID, CategoryHistoryCount AS n, CASE WHEN CategoryHistoryCount > 0 THEN round(CategoryAvg * CategoryHistoryCount, 4) END AS total, round(CategorySd, 2) AS sd, CategoryMin AS lo, CategoryMax AS hi FROM price_hist""")
 def _(m):
     base = m["price_features"].select("POItemID", "CategoryID", "OrderDate", "UnitPriceEUR")
     out = W.prior_stats(base, ["CategoryID"], "OrderDate", "POItemID", "UnitPriceEUR", "x")
-    return out.select("POItemID", F.col("xHistoryCount").alias("n"), F.col("xHistoricalAvgPriceEUR").alias("mean"),
+    return out.select("POItemID", F.col("xHistoryCount").alias("n"), F.round(F.col("xHistoricalAvgPriceEUR") * F.col("xHistoryCount"), 4).alias("total"),
                       F.round("xHistoricalStdDevPriceEUR", 2).alias("sd"), F.col("xHistoricalMinPriceEUR").alias("lo"),
                       F.col("xHistoricalMaxPriceEUR").alias("hi"))
 
@@ -490,7 +490,7 @@ def _(m):
 @query("P86_rank_within", "SupplierID:string CategoryID:string Rank:long", """
     SELECT SupplierID, CategoryID, row_number() OVER (PARTITION BY CategoryID ORDER BY spend_y DESC, SupplierID) AS Rank FROM opp""")
 def _(m):
-    return A.rank_within(m["opportunities"], ["CategoryID"], [F.desc("AnnualizedEligibleSpendEUR"), F.asc("SupplierID")], "Rank")
+    return W.rank_within(m["opportunities"], ["CategoryID"], [F.desc("AnnualizedEligibleSpendEUR"), F.asc("SupplierID")], "Rank")
 
 
 @query("P87_global_rank", "o_orderkey:long Rank:long", """
