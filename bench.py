@@ -38,8 +38,8 @@ def main() -> None:
         tables[name]
         times[f"stage_{name}"] = round(time.perf_counter() - start, 3)
     for name in HEADLINE:
+        start = time.perf_counter()      # building the plan may already pin data in the checkpoint folder
         plan = catalog.QUERIES[name].run(spark, directory)
-        start = time.perf_counter()
         plan.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
     print(json.dumps({"metric": "total wall time of staging and headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
