@@ -118,7 +118,7 @@ def prioritise(opp: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFr
     out = opp
     for column, score in [("PotentialAnnualSavingsEUR", "SavingsPotentialScore"), ("AnnualizedEligibleSpendEUR", "SpendScaleScore"),
                           ("PricingOpportunityPct", "PricingSignalScore"), ("MaverickSpendPct", "MaverickSignalScore")]:
-        out = global_percent_rank(out, column, score)
+        out = global_percent_rank(out, column, score, source=opp)
     clamp = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(100.0))
     out = out.withColumns({
         "SupplierRiskPriorityScore": clamp(F.col("SupplierRiskScoreForPriority")),

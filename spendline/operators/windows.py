@@ -135,15 +135,17 @@ def cumulative_by_value(df: DataFrame, value: str | Sequence[str], weight: Colum
             .select(*values, "Weight", (F.col("__run") + F.col("__off")).alias(name)))
 
 
-def global_percent_rank(df: DataFrame, column: str, name: str, scale: float = 100.0) -> DataFrame:
+def global_percent_rank(df: DataFrame, column: str, name: str, scale: float = 100.0, source: DataFrame | None = None) -> DataFrame:
     """percent_rank over the whole table, NULLs first: (rows below) / (rows - 1).
 
     Ties collapse to one row per distinct value before anything is ordered. The way back is an
-    equi join on the value, which AQE splits where one value dominates.
+    equi join on the value, which AQE splits where one value dominates. `source` is a frame with the
+    same rows to rank against: chained ranks over one base then read the base, not each other.
     """
-    ladder = cumulative_by_value(df, column, F.lit(1)).select(
+    base = df if source is None else source
+    ladder = cumulative_by_value(base, column, F.lit(1)).select(
         F.col(column).alias("__v"), (F.col("Cumulative") - F.col("Weight")).alias("__below"))
-    others = df.agg(F.count("*") - 1).scalar()
+    others = base.agg(F.count("*") - 1).scalar()
     ranked = df.join(ladder, F.col(column).eqNullSafe(F.col("__v")), "left")
     score = F.coalesce(F.try_divide(F.col("__below"), others), F.lit(0.0)) * scale
     return ranked.withColumn(name, score).select(*df.columns, name)
