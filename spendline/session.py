@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.dirname(context.getCheckpointDir())
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one for a table that a job writes and reads again."""
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex}"
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder, so lost executors do not matter."""
     shared_dir(df.sparkSession)
