@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import packing
+from spendline.llm import chat, line_dedup, packing, warc
+from spendline.llm.sql import ORACLES
+from spendline.session import stage_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +22,34 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations of the log, rendered."""
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that stand in ten documents or more."""
+    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures as read back from the archive of all pages."""
+    path = stage_path(spark, "warc")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_archive(spark, path, with_blocks=False))
+    note = lambda name: F.regexp_extract("metadata.text", rf"(?m)^{name}: ([0-9-]*)\r?$", 1)     # noqa: E731
+    whole = F.col("kind") == "response"
+    return captures.select(
+        F.nullif(note("page"), F.lit("")).cast("long").alias("page_id"),
+        F.when(whole, F.col("block_bytes")).otherwise(note("payload-bytes").cast("long")).alias("payload_bytes"),
+        F.when(whole, F.col("block_digest")).otherwise(F.col("digest")).alias("payload_digest"), F.col("kind").alias("record_type"),
+        F.nullif(F.regexp_extract("refers_to", "^<urn:capture:response:([0-9-]*):", 1), F.lit("")).cast("long").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_chat": op4_chat,
+    "op5_line_dedup": op5_line_dedup,
+    "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {}
