@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import chat, line_dedup, packing, warc
+from spendline.llm import chat, html_extract, line_dedup, packing, warc
 from spendline.llm.sql import ORACLES
 from spendline.session import stage_path
 
@@ -22,6 +22,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = _table(spark, sf_dir, "pages")
+    return html_extract.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations of the log, rendered."""
     return chat.format_chats(_table(spark, sf_dir, "conversations"))
@@ -49,6 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_html": op3_html,
     "op4_chat": op4_chat,
     "op5_line_dedup": op5_line_dedup,
     "op10_warc": op10_warc,
