@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import chat, html_extract, line_dedup, multi_index, packing, warc
+from spendline.llm import chat, html_extract, line_dedup, multi_index, ngram_join, packing, warc
 from spendline.llm.sql import ORACLES
 from spendline.session import stage_path
 
@@ -39,6 +39,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set sizes and components of all documents."""
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), width=5, percent=75)
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return multi_index.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html": op3_html,
     "op4_chat": op4_chat,
     "op5_line_dedup": op5_line_dedup,
+    "op7_ngram_join": op7_ngram_join,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
 }
