@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import chat, html_extract, line_dedup, multi_index, ngram_join, packing, warc
+from spendline.llm import chat, html_extract, line_dedup, multi_index, ngram_join, packing, toxicity, warc
 from spendline.llm.sql import ORACLES
 from spendline.session import stage_path
 
@@ -39,6 +39,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside of the held-out fifth."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0))
+    model = toxicity.fit(docs.where(fold != 0), _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.withColumn("held_out", fold == 0), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set sizes and components of all documents."""
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), width=5, percent=75)
@@ -68,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html": op3_html,
     "op4_chat": op4_chat,
     "op5_line_dedup": op5_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_ngram_join": op7_ngram_join,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
