@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import chat, html_extract, line_dedup, multi_index, ngram_join, packing, toxicity, warc
+from spendline.llm import chat, html_extract, line_dedup, multi_index, ngram_join, packing, pii, toxicity, warc
 from spendline.llm.sql import ORACLES
 from spendline.session import stage_path
 
@@ -52,6 +52,15 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), width=5, percent=75)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all documents."""
+    found = pii.find_spans(_table(spark, sf_dir, "documents"))
+    named = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")     # noqa: E731
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")       # noqa: E731
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE],
+                        F.sha2(named(F.filter("spans", lambda x: x["base"])).cast("binary"), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return multi_index.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
@@ -78,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_ngram_join": op7_ngram_join,
+    "op8_pii": op8_pii,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
 }
