@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import chat, html_extract, line_dedup, multi_index, ngram_join, packing, pii, toxicity, warc
+from spendline.llm import chat, decontam, html_extract, line_dedup, multi_index, ngram_join, packing, pii, toxicity, warc
 from spendline.llm.sql import ORACLES
 from spendline.session import stage_path
 
@@ -22,6 +22,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that leak benchmark items, and which."""
+    leaks = decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks.select(F.col("id").alias("doc_id"), "item_id", "n_windows", "item_windows", "n_slots", "verbatim")
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     pages = _table(spark, sf_dir, "pages")
@@ -82,6 +88,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op3_html": op3_html,
     "op4_chat": op4_chat,
     "op5_line_dedup": op5_line_dedup,
