@@ -13,7 +13,7 @@ from spendline.llm.components import components
 from spendline.llm.words import mix, shingles
 from spendline.session import stage_path
 
-HOT_BLOCK, HOT_LEAST, HOT_MOST = 4_000_000, 4, 100_000     # shingles counted together; occurrences in them to be reported; reported shingles that are ranked
+HOT_BLOCK, HOT_MOST = 4_000_000, 1_000_000     # shingles that a task counts together; shingles that are ranked by frequency (16 MB)
 SKETCHES = 8        # min-hashes by which copies find a leader
 GROUP = 256         # members that are compared with one hub at a time
 FEW_IDS = 1_000_000  # as many ids at most are broadcast (16 MB)
@@ -52,11 +52,14 @@ def tree_overlaps(hub: np.ndarray, members: list[np.ndarray], percent: int) -> l
     return passed
 
 
-def hot_shingles(docs: DataFrame, width: int) -> np.ndarray:
+def hot_shingles(docs: DataFrame, width: int, path: str) -> np.ndarray:
     """Frequent shingles, the most frequent last: at most `HOT_MOST`, by counts over all documents.
 
-    They only set the global order of shingles (rare ones first); any order gives the same links, so the bound costs nothing but time.
+    A task reports what it meets twice or more in a block; Spark adds the reports up. They only set the global order of shingles (rare ones first);
+    any order gives the same links, so the bound costs nothing but time.
     """
+    spark = docs.sparkSession
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -72,12 +75,22 @@ def hot_shingles(docs: DataFrame, width: int) -> np.ndarray:
 
     def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
         values, n = np.unique(np.concatenate(sets), return_counts=True)
-        often = n >= HOT_LEAST
+        often = n > 1
         return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "shingle").limit(HOT_MOST).toArrow()
-    return top.column("shingle").to_numpy().view(np.uint64)[::-1].copy()
+    docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).write.parquet(path)
+    counts = spark.read.parquet(path).withColumn("step", F.floor(F.log2("n") * 8))
+    least, total = None, 0
+    for r in counts.groupBy("step").count().orderBy(F.desc("step")).collect():     # a few hundred steps at most
+        total += r["count"]
+        if total > HOT_MOST:
+            break
+        least = r["step"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    top = counts.where(F.col("step") >= least).select("shingle", "n").toArrow()
+    shingle, n = top.column("shingle").to_numpy(), top.column("n").to_numpy()
+    return shingle[np.lexsort((shingle, n))].view(np.uint64)
 
 
 def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) -> DataFrame:
@@ -105,8 +118,7 @@ def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) ->
             else:
                 known = np.zeros(len(s), bool)
             rare = s[~known]
-            basis = rare if len(rare) else s
-            sketches.append([int(x) for x in mix(basis[None, :] * _SEEDS[:, None]).min(1).view(np.int64)] if len(s) else [])
+            sketches.append([int(x) for x in mix(s[None, :] * _SEEDS[:, None]).min(1).view(np.int64)] if len(s) else [])
             length = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
             prefix = rare[:length]
             if len(prefix) < length:
@@ -145,7 +157,7 @@ def candidates(prefixes: DataFrame, percent: int) -> DataFrame:
         found = []
         for start, stop in zip(starts[mixed], stops[mixed]):
             _, ids, component, n, at = rows[:, start:stop]      # sorted by n
-            indexed = at <= n - -(-2 * percent * n // (100 + percent))      # the smaller one's shingle lies in the shorter prefix
+            indexed = at <= n - -(-2 * percent * n // (100 + percent)) + 1      # the smaller one's shingle lies in the shorter prefix
             low = np.searchsorted(n, -(-percent * n // 100))
             for x in range(1, len(ids)):
                 y = np.arange(low[x], x)
@@ -220,7 +232,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = stage_path(spark, "ngrams")
     text = F.coalesce(F.col(text_col), F.lit(""))
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
-    hot = hot_shingles(chosen, width)
+    hot = hot_shingles(chosen, width, f"{base}/hot")
     document_sets(chosen, width, percent, hot).write.parquet(f"{base}/sets")
     sets = spark.read.parquet(f"{base}/sets")
     usable = sets.where("n > 0 AND id IS NOT NULL")
