@@ -52,6 +52,33 @@ def tree_overlaps(hub: np.ndarray, members: list[np.ndarray], percent: int) -> l
     return passed
 
 
+def parities(s: np.ndarray) -> bytes:
+    """For each residue of a power of two (at least twice the set size) whether an odd number of shingles has it, as bits."""
+    bits = max(256, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 256
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def most_overlap(a: bytes, b: bytes, sizes: int) -> int:
+    """Upper bound of the overlap of two sets whose sizes add up to `sizes`: every differing bit is an element that only one of them has."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    n = min(len(x), len(y))     # of the longer one, residues modulo the smaller power
+    differ = np.bitwise_xor.reduce(x.reshape(-1, n), 0) ^ np.bitwise_xor.reduce(y.reshape(-1, n), 0)
+    return (sizes - int(np.bitwise_count(differ).sum())) // 2
+
+
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (`a`, `b`) whose parities do not rule out the threshold; a few bytes a shingle travel instead of texts."""
+    side = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))      # noqa: E731
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column("na").to_pylist(), batch.column("nb").to_pylist()
+            keep = [most_overlap(x, y, i + j) >= _needed(i, j, percent) for i, j, x, y in zip(na, nb, batch.column("pa").to_pylist(), batch.column("pb").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long").distinct()
+
+
 def hot_shingles(docs: DataFrame, width: int, path: str) -> np.ndarray:
     """Frequent shingles, the most frequent last: at most `HOT_MOST`, by counts over all documents.
 
@@ -94,8 +121,8 @@ def hot_shingles(docs: DataFrame, width: int, path: str) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """Per document: `n` (set size), `s1`, `s2` (hash of the set), `sketch` (min-hashes) and `prefix`, the first shingles of its
-    set in the global order, of which every partner shares at least one."""
+    """Per document: `n` (set size), `s1`, `s2` (hash of the set), `sketch` (min-hashes), `parity` (see `parities`) and `prefix`, the first
+    shingles of its set in the global order, of which every partner shares at least one."""
     spark = docs.sparkSession
     by_value = np.argsort(hot)
     ranks = spark.sparkContext.broadcast((hot[by_value], by_value))
@@ -108,7 +135,7 @@ def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) ->
                 yield described(part, shingles(part.column("text"), width), values, rank)
 
     def described(part: pa.RecordBatch, sets: list[np.ndarray], values: np.ndarray, rank: np.ndarray) -> pa.RecordBatch:
-        s1, s2, sketches, prefixes = [], [], [], []
+        s1, s2, sketches, parity, prefixes = [], [], [], [], []
         for s in sets:
             s1.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
             s2.append(int(np.bitwise_xor.reduce(mix(s * _SEEDS[0])).view(np.int64)) if len(s) else 0)
@@ -119,6 +146,7 @@ def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) ->
                 known = np.zeros(len(s), bool)
             rare = s[~known]
             sketches.append([int(x) for x in mix(s[None, :] * _SEEDS[:, None]).min(1).view(np.int64)] if len(s) else [])
+            parity.append(parities(s))
             length = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
             prefix = rare[:length]
             if len(prefix) < length:
@@ -126,10 +154,10 @@ def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) ->
             prefixes.append(prefix.view(np.int64))
         return pa.RecordBatch.from_arrays(
             [part.column("id"), part.column("version"), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-             pa.array(sketches, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))],
-            names=["id", "version", "n", "s1", "s2", "sketch", "prefix"])
+             pa.array(sketches, pa.list_(pa.int64())), pa.array(parity, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+            names=["id", "version", "n", "s1", "s2", "sketch", "parity", "prefix"])
 
-    return docs.mapInArrow(run, "id long, version long, n long, s1 long, s2 long, sketch array<long>, prefix array<long>")
+    return docs.mapInArrow(run, "id long, version long, n long, s1 long, s2 long, sketch array<long>, parity binary, prefix array<long>")
 
 
 def candidates(prefixes: DataFrame, percent: int) -> DataFrame:
@@ -223,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     1. Equal sets are one. 2. Min-hashes name each set a leader; those that truly link with it join it, so that a group
     of copies is one component before any pairs are made. 3. Prefix shingles in a global order (frequent ones last) bring together all pairs of different
-    components that can link; a prefix tree of the partners of a hub decides. 4. Components of all links found. Steps 1, 3 and 4 are exact; step 2 only saves work.
+    components that can link; parities rule out most of the others, and a prefix tree of the partners of a hub decides. 4. Components of all links found. Steps 1, 3 and 4 are exact; step 2 only saves work.
 
     Null or empty texts, or those without words: no shingles, linked with nothing. A null id has no component, and links nothing. Rows that share an
     id are one document: a link of either is a link of the id. An empty table gives no rows. No other column is read.
@@ -238,13 +266,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     usable = sets.where("n > 0 AND id IS NOT NULL")
     usable.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep")).write.parquet(f"{base}/groups")
     groups = spark.read.parquet(f"{base}/groups")
-    reps = (usable.withColumn("rep", F.col("id")).join(groups, ["s1", "s2", "n", "rep"], "left_semi").dropDuplicates(["id", "s1", "s2"])
-            .select("id", "version", "n", "sketch", "prefix"))
-    reps.write.parquet(f"{base}/reps")
-    reps = spark.read.parquet(f"{base}/reps")
+    usable.select("id", "version", "s1", "s2", "n").join(groups, ["s1", "s2", "n"]).where("id <> rep").select("id", "version", "rep").write.parquet(f"{base}/copies")
+    copies = spark.read.parquet(f"{base}/copies")
+    known = copies.select("id", "version").distinct()
+    reps = usable.join(F.broadcast(known) if copies.count() <= FEW_IDS else known, ["id", "version"], "left_anti")
 
     def texts_of(pairs: DataFrame, name: str) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(reps.select("id", "version"), "id")
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(reps.select("id", "version").distinct(), "id")
         ids.write.parquet(f"{base}/{name}")
         ids = spark.read.parquet(f"{base}/{name}")
         few = ids.count() <= FEW_IDS
@@ -255,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets.groupBy("k", "value").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1").select("k", "value", "a").write.parquet(f"{base}/leaders")
     agreed = (buckets.join(spark.read.parquet(f"{base}/leaders"), ["k", "value"]).where("a != id").groupBy("id", "a").agg(F.count("*").alias("m"))
               .where(F.col("m") >= 2).groupBy("id").agg(F.max(F.struct("m", (-F.col("a")).alias("less"))).alias("best")))
-    agreed.select((-F.col("best.less")).alias("a"), F.col("id").alias("b")).write.parquet(f"{base}/led")
+    possible(agreed.select((-F.col("best.less")).alias("a"), F.col("id").alias("b")), reps, percent).write.parquet(f"{base}/led")
     led = spark.read.parquet(f"{base}/led")
     linked(led, texts_of(led, "led-ids"), width, percent).write.parquet(f"{base}/links-1")
     links = spark.read.parquet(f"{base}/links-1")
@@ -265,12 +293,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # 3. everything else
     state = reps.select("id", "n", "prefix").join(merged, "id", "left").withColumn("component", F.coalesce("component", "id"))
     prefixes = state.select(F.posexplode("prefix").alias("at", "token"), "id", "component", "n").select("token", "id", "component", "n", (F.col("at") + 1).cast("long").alias("at"))
-    candidates(prefixes, percent).write.parquet(f"{base}/pairs")
+    candidates(prefixes, percent).write.parquet(f"{base}/candidates")
+    possible(spark.read.parquet(f"{base}/candidates"), reps, percent).write.parquet(f"{base}/pairs")
     pairs = spark.read.parquet(f"{base}/pairs")
     linked(pairs, texts_of(pairs, "pair-ids"), width, percent).write.parquet(f"{base}/links-2")
     more = spark.read.parquet(f"{base}/links-2")
-    # rows that share an id but not their set tie their groups together
-    twice = usable.join(groups, ["s1", "s2", "n"]).where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    # copies, and so sets that share an id, belong together
+    twice = copies.select(F.col("rep").alias("a"), F.col("id").alias("b"))
     components(links.unionByName(more).unionByName(twice)).write.parquet(f"{base}/final")
     final = spark.read.parquet(f"{base}/final").withColumnRenamed("node", "id")
     return (sets.select("id", "n").join(final, "id", "left")

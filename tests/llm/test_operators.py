@@ -406,3 +406,12 @@ def test_archive_round_trip(spark):
         list(warc.parse_records(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"))
     empty = stage_path(spark, "test-warc-empty")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), empty)
+
+
+def test_parities_bound_the_overlap():
+    rng = np.random.default_rng(8)
+    for _ in range(100):
+        a, b = (np.unique(rng.integers(0, 3000, rng.integers(1, 900)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(2))
+        both = len(np.intersect1d(a, b))
+        assert both <= ngram_join.most_overlap(ngram_join.parities(a), ngram_join.parities(b), len(a) + len(b)) <= min(len(a), len(b)) + max(len(a), len(b)) // 2 + 1
+    assert ngram_join.most_overlap(ngram_join.parities(a), ngram_join.parities(a), 2 * len(a)) == len(a)
