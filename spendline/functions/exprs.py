@@ -96,10 +96,12 @@ def iso_weekday(c: str | Column) -> Column:
     return F.weekday(col(c)) + 1
 
 
-def date_key(c: str | Column, start: str, end: str) -> Column:
+def date_key(c: str | Column, start: str | Column | None = None, end: str | Column | None = None) -> Column:
     """yyyymmdd as int, NULL outside the calendar: the same answer as a calendar join, unjoined."""
     d = col(c)
-    inside = (d >= F.to_date(F.lit(start))) & (d <= F.to_date(F.lit(end)))
+    inside = d.isNotNull()
+    if start is not None and end is not None:
+        inside = (d >= F.to_date(F.lit(start))) & (d <= F.to_date(F.lit(end)))
     return F.when(inside, F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 

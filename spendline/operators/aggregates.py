@@ -39,14 +39,9 @@ def share_of_total(df: DataFrame, column: str, name: str, within: Sequence[str]
     return out.withColumn(name, share).drop("__total")
 
 
-def quantile(df: DataFrame, column: str, p: float, err: float = 0.01) -> float:
-    """Quantile of one column within a relative rank error."""
-    return df.approxQuantile(column, [p], err)[0]
-
-
-def quantiles_exact(df: DataFrame, spec: Mapping[str, tuple[str, float]]) -> DataFrame:
-    """One row with interpolated quantiles `{name: (column, p)}`."""
-    return df.agg(*[F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in spec.items()])
+def quantile_sketch(df: DataFrame, spec: Mapping[str, tuple[str, float]], err: float = 0.01) -> DataFrame:
+    """One row with values `{name: (column, p)}` whose rank is at most `err` * n away from p * n: a mergeable sketch of bounded size."""
+    return df.agg(*[F.percentile_approx(c, F.lit(p), F.lit(int(round(1 / err)))).alias(n) for n, (c, p) in spec.items()])
 
 
 def percentiles(df: DataFrame, by: Sequence[str], column: str, ps: Mapping[str, float], accuracy: int = 10000) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendline.functions.exprs import iso_weekday, quarter_label, record_hash, surrogate_key, year_month
@@ -59,7 +59,7 @@ def dim_currency(rates: DataFrame) -> DataFrame:
 
 
 def scd2(existing: DataFrame | None, snapshot: DataFrame, date: str, tracked: Sequence[str] = tuple(SUPPLIER_TRACKED),
-         key: str = "SupplierID", first_date: str | None = None) -> DataFrame:
+         key: str = "SupplierID", first_date: str | Column | None = None) -> DataFrame:
     """Fold one snapshot into a versioned dimension; returns the new dimension.
 
     First load: version 1 from `first_date`. Later: a new or changed key opens a version on the
@@ -71,14 +71,14 @@ def scd2(existing: DataFrame | None, snapshot: DataFrame, date: str, tracked: Se
     hash_, surrogate = f"{name}AttributeHash", f"{name}Key"
     source = snapshot.select(key, *tracked).withColumn(hash_, record_hash(list(tracked)))
 
-    def opened(df: DataFrame, version, start: str) -> DataFrame:
+    def opened(df: DataFrame, version, start: str | Column) -> DataFrame:
         return df.withColumns({
             "DimensionVersion": version, "EffectiveFromDate": F.to_date(F.lit(start)),
             "EffectiveToDate": F.to_date(F.lit(OPEN_END)), "IsCurrentFlag": F.lit(True),
         }).withColumn(surrogate, surrogate_key(key, "EffectiveFromDate", "DimensionVersion"))
 
     if existing is None:
-        return opened(source, F.lit(1), first_date or date)
+        return opened(source, F.lit(1), date if first_date is None else first_date)
 
     closing_before_start = F.col("EffectiveFromDate") >= F.to_date(F.lit(date))
     current = existing.where("IsCurrentFlag")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendline.operators.aggregates import with_total
+from spendline.operators.aggregates import quantile_sketch, with_total
 from spendline.operators.joins import shift_join
-from spendline.operators.windows import prior_stats, prior_year, rolling_range
+from spendline.operators.windows import exact_quantiles, prior_stats, prior_year, rolling_range
 
 # Fixed values
 ANNUALIZATION = 365.0 / 212.0
@@ -82,8 +82,8 @@ def future_outcomes(features: DataFrame, last_feature_year: int, last_outcome_ye
 
 def label_thresholds(candidates: DataFrame, approximate: bool = False) -> DataFrame:
     """One row: the adverse quartile of every outcome metric over the training outcomes."""
-    q = (lambda c, p: F.percentile_approx(c, F.lit(p), F.lit(1000))) if approximate else (lambda c, p: F.percentile(c, F.lit(p)))
-    return candidates.agg(*[q(f"Future{c}", 0.25 if i == 0 else 0.75).alias(f"{c}Threshold") for i, c in enumerate(RISK_METRICS)])
+    spec = {f"{c}Threshold": (f"Future{c}", 0.25 if i == 0 else 0.75) for i, c in enumerate(RISK_METRICS)}
+    return quantile_sketch(candidates, spec, 0.001) if approximate else exact_quantiles(candidates, spec)
 
 
 def risk_label(candidates: DataFrame, thresholds: DataFrame) -> DataFrame:

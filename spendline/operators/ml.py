@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendline.functions.exprs import ratio
-from spendline.operators.windows import cumulative_by_value
+from spendline.operators.windows import cumulative_by_value, exact_quantiles
 from spendline.session import reliable
 
 NUMERIC = ["AnnualizedEligibleSpendEUR", "ContractCompliancePct", "MaverickSpendPct", "SupplierOTDPct", "LateFullyReceivedPct",
@@ -46,11 +46,12 @@ def risk_pipeline(estimator, numeric: Sequence[str], categorical: Sequence[str])
     return Pipeline(stages=[medians, index, hot, numbers, scaled, whole, estimator])
 
 
-def estimators(trees: int = 100, seed: int = 42) -> dict:
+def estimators(seed: int = 42) -> dict:
+    """The three candidates; tree sizes, rounds and rate are fixed values of the risk model."""
     common = {"labelCol": LABEL, "featuresCol": "features", "weightCol": "ClassWeight"}
-    return {"LogisticRegression": LogisticRegression(maxIter=50, regParam=0.1, **common),
-            "RandomForest": RandomForestClassifier(numTrees=trees, maxDepth=6, seed=seed, **common),
-            "GradientBoosting": GBTClassifier(maxIter=max(5, trees // 5), maxDepth=3, seed=seed, **common)}
+    return {"LogisticRegression": LogisticRegression(maxIter=2000, regParam=0.01, **common),
+            "RandomForest": RandomForestClassifier(numTrees=500, maxDepth=8, minInstancesPerNode=5, seed=seed, **common),
+            "GradientBoosting": GBTClassifier(maxIter=200, stepSize=0.05, maxDepth=2, minInstancesPerNode=8, seed=seed, **common)}
 
 
 def usable_numbers(df: DataFrame, columns: Sequence[str] = NUMERIC) -> list[str]:
@@ -261,28 +262,43 @@ class IsolationForest:
     nodes: DataFrame            # one row per node: at most trees x (2 x sample - 1) rows
 
 
+def _binomial_steps(trees: int, share: float) -> list[float]:
+    """For k = 1, 2, ...: the chance that a row goes to fewer than k trees (up to where it is certain)."""
+    if share >= 1.0:
+        return [0.0] * trees
+    steps, chance, below = [], (1.0 - share) ** trees, 0.0
+    for k in range(trees):
+        below += chance
+        if below >= 1.0 - 1e-15:
+            break
+        steps.append(below)
+        chance *= (trees - k) / (k + 1.0) * share / (1.0 - share)
+    return steps
+
+
 def iforest_fit(df: DataFrame, columns: Sequence[str] = PRICING_FEATURES, trees: int = 300, sample: int = 256,
                 seed: int = 42, id_: str = "POItemID") -> IsolationForest:
-    """Grow each tree in its own task from its own random subsample.
+    """Grow each tree in its own task from its own random subsample; missing values take the exact median.
 
-    Subsampling is the algorithm: each tree wants `sample` rows drawn from all of them. A hash
-    decides per (row, tree) with a probability that leaves a safe surplus, and the smallest hashes
-    make up the subsample, so the draw is uniform and repeatable. To spare one hash per row and
-    tree on a huge table, rows first pass a common hash filter that keeps many more rows than all
-    trees need together.
+    Subsampling is the algorithm: each tree wants `sample` rows drawn from all of them. One hash per row says how many trees
+    look at the row (the inverse of the binomial distribution of that number, with a share that leaves a safe surplus); further
+    hashes say which. The smallest hashes of a tree make up its subsample. The draw is the same at every table size, repeatable,
+    and costs a row as many hashes as it has trees: usually none.
     """
     columns = list(columns)
-    stats = df.agg(F.count("*").alias("n"), *[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c) for c in columns]).first()
-    rows = int(stats["n"])
-    medians = {c: float(stats[c]) if stats[c] is not None else 0.0 for c in columns}
+    rows = df.count()
+    exact = exact_quantiles(df, {c: (c, 0.5) for c in columns}).first()
+    medians = {c: float(exact[c]) if exact[c] is not None else 0.0 for c in columns}
     size = min(sample, rows)
-    unit = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 31)) / float(1 << 31)
-    pool_share = min(1.0, 20.0 * trees * size / max(rows, 1))
+    unit = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 53)) / float(1 << 53)
     pool = df.select(id_, *[F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in columns])
-    pool = pool.where(unit(F.lit(seed), F.col(id_)) < pool_share)
-    draw_share = min(1.0, (2.0 * size + 100.0) / max(1.0, rows * pool_share))
-    drawn = (pool.withColumn("Tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
-                                                        lambda t: unit(F.lit(seed + 1), F.col(id_), t) < draw_share)))
+    share = min(1.0, (2.0 * size + 100.0) / max(1, rows))
+    looks = F.lit(0)
+    for k, below in enumerate(_binomial_steps(trees, share), 1):
+        looks = F.when(F.col("__u") >= below, k).otherwise(looks)
+    order = F.slice(F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(F.lit(seed + 1), F.col(id_), t), t.alias("t")))), 1, F.col("__k"))
+    drawn = (pool.withColumn("__u", unit(F.lit(seed), F.col(id_))).withColumn("__k", looks).where(F.col("__k") > 0)
+             .withColumn("Tree", F.explode(F.transform(order, lambda x: x["t"]))).drop("__u", "__k")
              .withColumn("__h", F.xxhash64(F.lit(seed + 2), F.col(id_), F.col("Tree"))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -334,7 +350,7 @@ def iforest_score(forest: IsolationForest, df: DataFrame, name: str = "RawAnomal
 
 def raw_threshold(scores: DataFrame, column: str = "RawAnomalyScore", review_rate: float = 0.05) -> DataFrame:
     """One row: the score above which the review share of the reference lies."""
-    return scores.agg(F.percentile(column, F.lit(1.0 - review_rate)).alias("RawThreshold"))
+    return exact_quantiles(scores, {"RawThreshold": (column, 1.0 - review_rate)})
 
 
 def proxy_eval(df: DataFrame, flag: str, proxy: str, exception: str | None = None) -> DataFrame:

@@ -113,7 +113,7 @@ def numbered(df: DataFrame, run_id: str | None = None) -> DataFrame:
 
 def gate(df: DataFrame) -> DataFrame:
     """Raise when any rule failed; pass the results on otherwise."""
-    failed = [r["ValidationRule"] for r in df.where(F.col("ValidationStatus") == "FAILED").select("ValidationRule").limit(20).collect()]
+    failed = [r["ValidationRule"] for r in df.where(F.col("ValidationStatus") == "FAILED").select("ValidationRule").collect()]    # one row per rule
     if failed:
         raise GateFailed("; ".join(failed))
     return df

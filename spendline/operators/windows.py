@@ -135,18 +135,45 @@ def cumulative_by_value(df: DataFrame, value: str | Sequence[str], weight: Colum
             .select(*values, "Weight", (F.col("__run") + F.col("__off")).alias(name)))
 
 
+def exact_quantiles(df: DataFrame, spec: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """One row with interpolated quantiles `{name: (column, p)}`; NULL for a column without values.
+
+    All columns go through one ladder of (column, distinct value). The two values around position p * (n - 1) are looked up in it, so no
+    task holds the values of a column.
+    """
+    columns = sorted({c for c, _ in spec.values()})
+    pairs = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(c).cast("double").alias("__v")) for c in columns])
+    values = df.select(F.inline(pairs)).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    ladder = reliable(cumulative_by_value(values, ["__c", "__v"], F.lit(1)))
+    spans = ladder.groupBy("__c").agg(F.min(F.col("Cumulative") - F.col("Weight")).alias("__from"), F.max("Cumulative").alias("__to"))
+    placed = ladder.join(F.broadcast(spans), "__c")     # one row per column
+    last = F.col("Cumulative") - F.col("__from") - 1
+    first = last - F.col("Weight") + 1
+    parts = {}
+    for name, (column, p) in spec.items():
+        at = F.lit(float(p)) * (F.col("__to") - F.col("__from") - 1)
+        own = F.col("__c") == column
+        parts |= {f"{name}__lo": F.max(F.when(own & (first <= F.floor(at)) & (last >= F.floor(at)), F.col("__v"))),
+                  f"{name}__hi": F.max(F.when(own & (first <= F.ceil(at)) & (last >= F.ceil(at)), F.col("__v"))),
+                  f"{name}__w": F.max(F.when(own, at - F.floor(at)))}
+    row = placed.agg(*[c.alias(k) for k, c in parts.items()])
+    lo, hi, w = (lambda n, s=s: F.col(f"{n}__{s}") for s in ("lo", "hi", "w"))
+    return row.select(*[F.when(lo(n) == hi(n), lo(n)).otherwise((1 - w(n)) * lo(n) + w(n) * hi(n)).alias(n) for n in spec])
+
+
 def global_percent_rank(df: DataFrame, column: str, name: str, scale: float = 100.0, source: DataFrame | None = None) -> DataFrame:
     """percent_rank over the whole table, NULLs first: (rows below) / (rows - 1).
 
     Ties collapse to one row per distinct value before anything is ordered. The way back is an
-    equi join on the value, which AQE splits where one value dominates. `source` is a frame with the
+    equi join on the value, which AQE splits where one value dominates; rows without a value stand before all others, so their
+    score is 0 and they take no part in the join key. `source` is a frame with the
     same rows to rank against: chained ranks over one base then read the base, not each other.
     """
     base = df if source is None else source
     ladder = cumulative_by_value(base, column, F.lit(1)).select(
         F.col(column).alias("__v"), (F.col("Cumulative") - F.col("Weight")).alias("__below"))
     others = base.agg(F.count("*") - 1).scalar()
-    ranked = df.join(ladder, F.col(column).eqNullSafe(F.col("__v")), "left")
+    ranked = df.join(ladder.where(F.col("__v").isNotNull()), F.col(column) == F.col("__v"), "left")
     score = F.coalesce(F.try_divide(F.col("__below"), others), F.lit(0.0)) * scale
     return ranked.withColumn(name, score).select(*df.columns, name)
 

@@ -62,7 +62,7 @@ class Mart:
         return self._tables[name]
 
     def dims(self) -> dict[str, DataFrame]:
-        return {entity: self[table] for entity, table in DIM_TABLES.items()}
+        return {**{entity: self[table] for entity, table in DIM_TABLES.items()}, "Date": self["dim_date"]}
 
     def _stage(self, name: str) -> DataFrame:
         df = self.build(name)
@@ -134,7 +134,7 @@ class Mart:
 
     def _dim_supplier(self) -> DataFrame:
         earlier, later = supplier_snapshots(self["silver_supplier"])
-        first = dimensions.scd2(None, earlier, SECOND_SNAPSHOT, first_date=facts.CALENDAR[0])
+        first = dimensions.scd2(None, earlier, SECOND_SNAPSHOT, first_date=self["dim_date"].agg(F.min("Date")).scalar())
         return dimensions.scd2(first, later, SECOND_SNAPSHOT)
 
     def _dim_currency(self) -> DataFrame:
@@ -169,7 +169,7 @@ class Mart:
         return features.price_features(self["fact_purchase_order"], AS_OF)
 
     def _pricing_scores(self) -> DataFrame:
-        """Anomaly scores by the transparent rule: the stronger of variance and z-score, as 0..100."""
+        """Anomaly scores by the transparent rule: five points for each percent of variance from the contract price, at most 100."""
         f = self["price_features"].where((F.col("OrderYear") == SCORING_YEAR) & (F.col("PricingModelEligibleFlag") == 1))
         part = F.coalesce(F.col("AbsoluteContractPriceVariancePct"), F.lit(0.0))
         score = F.round(F.least(F.lit(100.0), part * 5.0), 2)

@@ -9,17 +9,13 @@ from spendline.operators import ml
 from spendline.plans import mart as MT
 from spendline.plans.registry import query
 
-# Small settings keep a check run short; the defaults of the operators are the production ones.
-TREES, FOLDS, FOREST = 20, 3, 100
-
 _MODELS: dict[str, ml.RiskModel] = {}
 
 
 def risk_model(m) -> ml.RiskModel:
     """Fitted once per mart: several queries look at the same model."""
     if m.root not in _MODELS:
-        specs = {k: v for k, v in ml.estimators(TREES).items() if k != "GradientBoosting"}
-        _MODELS[m.root] = ml.fit_risk(m["risk_labelled"], specs, FOLDS)
+        _MODELS[m.root] = ml.fit_risk(m["risk_labelled"])
     return _MODELS[m.root]
 
 
@@ -96,7 +92,7 @@ def _(m):
     from spendline.session import reliable
     usable = m["price_features"].where("PricingModelEligibleFlag = 1")
     train, score = FE.split_by_year(usable, "OrderYear", MT.SCORING_YEAR - 1, MT.SCORING_YEAR)
-    forest = ml.iforest_fit(train, trees=FOREST)
+    forest = ml.iforest_fit(train)
     # Scores are pinned once: the percentile ladder and the threshold both read them.
     both = reliable(ml.iforest_score(forest, usable, carry=["POItemID", "OrderYear"]))
     reference, target = FE.split_by_year(both, "OrderYear", MT.SCORING_YEAR - 1, MT.SCORING_YEAR)

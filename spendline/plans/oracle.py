@@ -297,7 +297,7 @@ CTES: dict[str, str] = {
         ) s {_SA_FX})""",
     "dim_supplier": """
         SELECT SupplierID, SupplierName, SupplierType, Country, Region, PreferredSupplier, StrategicSupplier, ESGRating, FinancialRiskScore, Status,
-          1 AS DimensionVersion, DATE '1995-01-01' AS EffectiveFromDate,
+          1 AS DimensionVersion, CAST((SELECT date_trunc('year', min(o_orderdate)) FROM orders) AS DATE) AS EffectiveFromDate,
           CASE WHEN k % 19 = 7 OR k % 3 = 1 THEN DATE '1998-06-30' ELSE DATE '9999-12-31' END AS EffectiveToDate, NOT (k % 19 = 7 OR k % 3 = 1) AS IsCurrentFlag
         FROM (SELECT *, CAST(substr(SupplierID, 2) AS BIGINT) AS k FROM c_supplier) WHERE k % 17 <> 5
         UNION ALL

@@ -70,12 +70,12 @@ def _(m):
             .agg(F.count("*").alias("Days"), F.count("n").alias("OrderDays"), F.coalesce(F.sum("n"), F.lit(0)).alias("Orders")))
 
 
-@query("P06_overwrite", "o_orderstatus:string n:long", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+@query("P06_overwrite", "o_orderstatus:string n:long ColumnCount:int", "SELECT o_orderstatus, count(*) AS n, 2 AS ColumnCount FROM orders GROUP BY 1")
 def _(m):
-    path = _fresh(m, "p06")
-    X.overwrite(m.source.raw("orders").limit(0), path)
-    written = X.overwrite(m.source.raw("orders").select("o_orderkey", "o_orderstatus"), path)
-    return written.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    path, orders = _fresh(m, "p06"), m.source.raw("orders").select("o_orderkey", "o_orderstatus")
+    X.overwrite(orders.union(orders).withColumn("Old", F.lit("x")), path)
+    written = X.overwrite(orders, path)
+    return written.groupBy("o_orderstatus").agg(F.count("*").alias("n")).withColumn("ColumnCount", F.lit(len(written.columns)))
 
 
 @query("P07_append", "o_orderstatus:string n:long noted:long", """
@@ -113,9 +113,7 @@ def _(m):
 
 @query("P11_verify_written", "rows:long", "SELECT count(*) AS rows FROM part")
 def _(m):
-    df = m.source.raw("part")
-    written = X.overwrite(df, _fresh(m, "p11"))
-    X.verify_written(df, written)
+    written = X.overwrite_verified(m.source.raw("part"), _fresh(m, "p11"))
     return written.agg(F.count("*").alias("rows"))
 
 
@@ -312,7 +310,7 @@ def _(m):
 @query("P50_date_key", "InvoiceID:string InvoiceDateKey:int DueDateKey:int", """
     SELECT InvoiceID, CAST(strftime(InvoiceDate, '%Y%m%d') AS INT) AS InvoiceDateKey, CAST(strftime(DueDate, '%Y%m%d') AS INT) AS DueDateKey FROM invoices""")
 def _(m):
-    return date_roles(m["bronze_invoice_header"], {"InvoiceDate": "InvoiceDateKey", "DueDate": "DueDateKey"})
+    return date_roles(m["bronze_invoice_header"], {"InvoiceDate": "InvoiceDateKey", "DueDate": "DueDateKey"}, m["dim_date"])
 
 
 @query("P51_assert_unique", "n:long", "SELECT count(*) AS n FROM orders")
@@ -404,7 +402,21 @@ def _(m):
 
 @query("P68_quantile", "q25:double q75:double", "SELECT quantile_cont(l_extendedprice, 0.25) AS q25, quantile_cont(l_extendedprice, 0.75) AS q75 FROM lineitem")
 def _(m):
-    return A.quantiles_exact(m.source.raw("lineitem"), {"q25": ("l_extendedprice", 0.25), "q75": ("l_extendedprice", 0.75)})
+    return W.exact_quantiles(m.source.raw("lineitem"), {"q25": ("l_extendedprice", 0.25), "q75": ("l_extendedprice", 0.75)})
+
+
+@query("P68_quantile_sketch", "Name:string Within:boolean", "SELECT unnest(['q25', 'q75']) AS Name, TRUE AS Within FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0")
+def _(m):
+    """Whether the rank of each sketched value is within 1 % of the rows of where it should be."""
+    prices = m.source.raw("lineitem").select("l_extendedprice")
+    spec = {"q25": ("l_extendedprice", 0.25), "q75": ("l_extendedprice", 0.75)}
+    sketch = A.quantile_sketch(prices, spec)
+    value = {n: sketch.select(n).scalar() for n in spec}
+    ranks = prices.agg(F.count("*").alias("n"), *[F.count_if(F.col("l_extendedprice") < v).alias(f"{n}_lo") for n, v in value.items()],
+                       *[F.count_if(F.col("l_extendedprice") <= v).alias(f"{n}_hi") for n, v in value.items()])
+    rows = F.array(*[F.struct(F.lit(n).alias("Name"), ((F.col(f"{n}_lo") <= (p + 0.01) * F.col("n")) & (F.col(f"{n}_hi") >= (p - 0.01) * F.col("n"))).alias("Within"))
+                     for n, (_, p) in spec.items()])
+    return ranks.select(F.inline(rows))
 
 
 @query("P69_percentiles", "l_returnflag:string p50:double p90:double p99:double")

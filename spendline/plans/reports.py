@@ -88,11 +88,11 @@ def _(m):
 
 @query("R07_anomaly_table", "SupplierID:string CategoryName:string Anomalies:long Items:long", f"""
     SELECT SupplierID, CategoryName, count(*) FILTER (PricingAnomalyFlag = 1) AS Anomalies, count(*) AS Items FROM {_LATEST_PRICE} JOIN c_category USING (CategoryID)
-    GROUP BY 1, 2 ORDER BY 3 DESC, 4 DESC, 1, 2 LIMIT 50""")
+    GROUP BY 1, 2""")
 def _(m):
     f = M.star(m, M.PRICE, {"dim_category": ["CategoryName"]}, frame=M.latest_snapshot(m[M.PRICE]))
     per = f.groupBy("SupplierID", "CategoryName").agg(F.count_if(F.col("PricingAnomalyFlag") == 1).alias("Anomalies"), F.count("*").alias("Items"))
-    return top_n(per, 50, F.desc("Anomalies"), F.desc("Items"), "SupplierID", "CategoryName")
+    return per.orderBy(F.desc("Anomalies"), F.desc("Items"), "SupplierID", "CategoryName")
 
 
 @query("R08_year_supplier_drilldown", "PerformanceYear:int SupplierName:string " + _columns(PERFORMANCE),

@@ -20,6 +20,7 @@ def session(app: str = "spendline", master: str | None = None, **conf: str) -> S
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -33,8 +34,8 @@ def session(app: str = "spendline", master: str | None = None, **conf: str) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir`, as the cluster names it.
 
-    Only where neither the setting nor a checkpoint folder exists (tests, a laptop) is a
-    temporary one chosen.
+    Only where neither the setting nor a checkpoint folder exists is a temporary one chosen, and only
+    with a local master; on a cluster, executors would not see each other's files there.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None)
@@ -43,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spendline-"))
     return os.path.dirname(context.getCheckpointDir())
 

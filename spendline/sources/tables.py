@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,6 +49,16 @@ def overwrite(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> Dat
     return scan_path(df.sparkSession, path)
 
 
+def overwrite_verified(df: DataFrame, path: str) -> DataFrame:
+    """Overwrite, and compare the rows that passed into the writer with those that read back; the source runs once."""
+    seen = Observation()
+    written = overwrite(df.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    expected, found = seen.get["n"], written.count()
+    if expected != found:
+        raise WriteMismatch(f"expected {expected} rows, found {found}")
+    return written
+
+
 def append(df: DataFrame, path: str) -> DataFrame:
     """Append history rows; the returned scan merges the schemas of all batches."""
     df.write.mode("append").parquet(path)

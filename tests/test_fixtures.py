@@ -349,3 +349,35 @@ def test_shares_and_reconcile(spark):
     a = spark.createDataFrame([(1, 10.0), (2, 5.0)], "k int, v double")
     b = spark.createDataFrame([(1, 10.01), (3, 7.0)], "k int, v double")
     assert rows(J.reconcile(a, b, ["k"], ["v"], 0.05), "k", "ReconciledFlag") == [(1, True), (2, False), (3, False)]
+
+
+def test_gate_names_every_failed_rule(spark):
+    rules = spark.createDataFrame([(f"rule {k:02d}", "FAILED" if k < 25 else "PASSED") for k in range(30)], "ValidationRule string, ValidationStatus string")
+    with pytest.raises(Q.GateFailed) as caught:
+        Q.gate(rules)
+    assert sorted(str(caught.value).split("; ")) == [f"rule {k:02d}" for k in range(25)]
+
+
+def test_exact_quantiles_with_ties_nulls_and_empty_columns(spark):
+    values = [(1.0, None), (2.0, None), (2.0, None), (10.0, None), (None, None)]
+    df = spark.createDataFrame(values, "a double, b double").repartition(3)
+    got = W.exact_quantiles(df, {"q0": ("a", 0.0), "q25": ("a", 0.25), "q50": ("a", 0.5), "q90": ("a", 0.9), "q1": ("a", 1.0), "none": ("b", 0.5)}).first()
+    assert [round(got[n], 9) for n in ("q0", "q25", "q50", "q90", "q1")] == [1.0, 1.75, 2.0, 7.6, 10.0] and got["none"] is None
+
+
+def test_null_share_of_percent_rank_stays_out_of_the_join(spark):
+    df = spark.createDataFrame([(k, None if k % 10 else float(k)) for k in range(100)], "id int, v double")
+    ranked = W.global_percent_rank(df, "v", "s")
+    got = {r.id: r.s for r in ranked.collect()}
+    assert all(got[k] == 0.0 for k in range(100) if k % 10) and round(got[90], 9) == 100.0 and round(got[0], 6) == round(9000 / 99, 6)
+    assert "<=>" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tree_looks_follow_the_binomial_distribution():
+    from spendline.operators.ml import _binomial_steps
+    steps = _binomial_steps(3, 0.5)
+    assert [round(s, 9) for s in steps] == [0.125, 0.5, 0.875] and _binomial_steps(4, 1.0) == [0.0] * 4
+
+
+def test_verified_overwrite(spark, tmp_path):
+    assert X.overwrite_verified(spark.range(7), str(tmp_path / "t")).count() == 7
