@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendline.functions.exprs import count_where, pct
-from spendline.operators.aggregates import key_spine, rollup_flags
+from spendline.operators.aggregates import rollup_flags
 from spendline.operators.joins import lookup
 from spendline.operators.shape import fill_defaults, stamp
 
 KEYS = ["SupplierID", "PerformanceYear"]
+# Columns of the scorecard
 COUNTS = ["POCount", "POItemCount", "DuePOItemCount", "ReceivedPOItemCount", "DeliveryCompletePOItemCount",
           "OnTimeDeliveryPOItemCount", "LateDeliveryPOItemCount", "OverdueOpenPOItemCount", "InvoiceItemCount",
           "MatchedInvoiceItemCount", "InvoiceExceptionItemCount", "InvoiceCount", "DisputedInvoiceCount",
@@ -104,11 +107,14 @@ def add_rates(df: DataFrame, names: list[str] | None = None) -> DataFrame:
 
 
 def scorecard(spend: DataFrame, deliveries: DataFrame, items: DataFrame, invoices: DataFrame, supplier: DataFrame) -> DataFrame:
-    """All activity of a supplier in a year, on the union of the four key sets."""
-    parts = [spend, deliveries, items, invoices]
-    out = key_spine(parts, KEYS)
-    for part in parts:
-        out = out.join(part, KEYS, "left")
+    """All activity of a supplier in a year, on the union of the four key sets.
+
+    Each part has at most one row per key and columns of its own, so stacking them and taking the one value of every column
+    joins all four in a single shuffle of small rows; each part is planned once. Activity without a supplier has a row, but no figures.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spend, deliveries, items, invoices])
+    named = F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
+    out = stacked.groupBy(*KEYS).agg(*[F.max(F.when(named, F.col(c))).alias(c) for c in stacked.columns if c not in KEYS])
     out = fill_defaults(out, {"long": COUNTS, "decimal(20,2)": AMOUNTS, "double": ["AverageDaysLate"],
                               "int": ["MaximumDaysLate"]})
     out = lookup(out, supplier, {"SupplierID": "SupplierID"},

@@ -419,6 +419,21 @@ def _(m):
     return ranks.select(F.inline(rows))
 
 
+@query("P69_rank_error", "l_returnflag:string Name:string Within:boolean", """
+    SELECT l_returnflag, unnest(['p50', 'p90', 'p99']) AS Name, TRUE AS Within FROM (SELECT DISTINCT l_returnflag FROM lineitem)""")
+def _(m):
+    """Whether the rank of each sketched percentile is within 1 / accuracy of the group's rows of where it should be."""
+    prices, ps = m.source.raw("lineitem").select("l_returnflag", "l_extendedprice"), {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    sketch = A.percentiles(prices, ["l_returnflag"], "l_extendedprice", ps, 10000)
+    ranks = prices.join(sketch, "l_returnflag").groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), *[F.count_if(F.col("l_extendedprice") < F.col(n)).alias(f"{n}_lo") for n in ps],
+        *[F.count_if(F.col("l_extendedprice") <= F.col(n)).alias(f"{n}_hi") for n in ps])
+    slack = F.ceil(F.col("n") / 10000.0)
+    rows = F.array(*[F.struct(F.lit(n).alias("Name"), ((F.col(f"{n}_lo") <= p * F.col("n") + slack) & (F.col(f"{n}_hi") >= p * F.col("n") - slack)).alias("Within"))
+                     for n, p in ps.items()])
+    return ranks.select("l_returnflag", F.inline(rows))
+
+
 @query("P69_percentiles", "l_returnflag:string p50:double p90:double p99:double")
 def _(m):
     return A.percentiles(m.source.raw("lineitem"), ["l_returnflag"], "l_extendedprice", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
