@@ -12,8 +12,11 @@ from spendline.plans.registry import query
 
 SPEND = ["Total Eligible Spend", "Contract Compliant Spend", "Maverick Spend", "Contract Compliance %", "Maverick Spend %"]
 PERFORMANCE = ["Supplier OTD %", "Overdue Open Delivery %", "Supplier Quality Index", "Three-Way Match %", "Invoice Dispute %", "Duplicate Invoice %"]
-CARDS = ["Savings Opportunities", "Actionable Savings Opportunities", "Potential Annual Savings", "Actionable Potential Annual Savings"]
-PIPELINE = ["Savings Projects", "Active Savings Projects", "Forecasted Savings", "Weighted Forecast Savings", "Approved Savings"]
+CARDS = ["Savings Opportunities", "Positive Savings Opportunities", "Actionable Savings Opportunities", "Opportunity Annualized Spend", "Potential Annual Savings",
+         "Actionable Potential Annual Savings", "Savings Potential %"]
+DRILLDOWN = ["Supplier OTD %", "Overdue Open Delivery %", "Supplier Quality Index", "Three-Way Match %", "Invoice Dispute %", "Invoice Exception %"]
+YEAR_CARDS = ["Supplier OTD %", "Supplier Quality Index", "Three-Way Match %", "Invoice Dispute %", "Supplier Performance Eligible Spend"]
+PIPELINE = ["Savings Projects", "Active Savings Projects", "Forecasted Savings", "Weighted Forecast Savings", "Approved Savings", "Realized Savings", "Savings Realization %"]
 
 
 def name(measure: str) -> str:
@@ -86,19 +89,21 @@ def _(m):
     return report(m, M.PERF, PERFORMANCE, [], {}, "PerformanceYear = 2000")
 
 
-@query("R07_anomaly_table", "SupplierID:string CategoryName:string Anomalies:long Items:long", f"""
-    SELECT SupplierID, CategoryName, count(*) FILTER (PricingAnomalyFlag = 1) AS Anomalies, count(*) AS Items FROM {_LATEST_PRICE} JOIN c_category USING (CategoryID)
+@query("R07_anomaly_table", "SupplierID:string CategoryName:string Anomalies:long Items:long AnomalyRate:double", f"""
+    SELECT SupplierID, CategoryName, count(*) FILTER (PricingAnomalyFlag = 1) AS Anomalies, count(*) AS Items,
+      count(*) FILTER (PricingAnomalyFlag = 1) / CAST(count(*) AS DOUBLE) AS AnomalyRate FROM {_LATEST_PRICE} JOIN c_category USING (CategoryID)
     GROUP BY 1, 2""")
 def _(m):
     f = M.star(m, M.PRICE, {"dim_category": ["CategoryName"]}, frame=M.latest_snapshot(m[M.PRICE]))
     per = f.groupBy("SupplierID", "CategoryName").agg(F.count_if(F.col("PricingAnomalyFlag") == 1).alias("Anomalies"), F.count("*").alias("Items"))
+    per = per.withColumn("AnomalyRate", F.col("Anomalies") / F.col("Items"))
     return per.orderBy(F.desc("Anomalies"), F.desc("Items"), "SupplierID", "CategoryName")
 
 
-@query("R08_year_supplier_drilldown", "PerformanceYear:int SupplierName:string " + _columns(PERFORMANCE),
-       f"SELECT PerformanceYear, SupplierName, {_sql(PERFORMANCE)} FROM fact_perf GROUP BY ROLLUP (PerformanceYear, SupplierName)")
+@query("R08_year_supplier_drilldown", "PerformanceYear:int SupplierName:string " + _columns(DRILLDOWN),
+       f"SELECT PerformanceYear, SupplierName, {_sql(DRILLDOWN)} FROM fact_perf GROUP BY ROLLUP (PerformanceYear, SupplierName)")
 def _(m):
-    return report(m, M.PERF, PERFORMANCE, ["PerformanceYear", "SupplierName"], {"dim_supplier": ["SupplierName"]}, totals=True)
+    return report(m, M.PERF, DRILLDOWN, ["PerformanceYear", "SupplierName"], {"dim_supplier": ["SupplierName"]}, totals=True)
 
 
 @query("R09_yearly_trend", "Year:int total_eligible_spend:double contract_compliance_pct:double", f"SELECT year(OrderDate) AS Year, {_sql([SPEND[0], SPEND[3]])} FROM fact_po GROUP BY 1")
@@ -126,14 +131,14 @@ def _(m):
                   {"dim_date": ["Year"], "dim_business_unit": ["BusinessUnitName"], "dim_category": ["CategoryName"]}, "Year IN (1999, 2000)")
 
 
-@query("R13_top_maverick_categories", "CategoryName:string " + _columns(SPEND), f"SELECT CategoryName, {_sql(SPEND)} FROM {_CAT} GROUP BY 1 ORDER BY {name(SPEND[2])} DESC, 1 LIMIT 10")
+@query("R13_top_maverick_categories", "CategoryName:string " + _columns(SPEND), f"SELECT CategoryName, {_sql(SPEND)} FROM {_CAT} GROUP BY 1")
 def _(m):
-    return top_n(report(m, M.PO, SPEND, ["CategoryName"], {"dim_category": ["CategoryName"]}), 10, F.desc(name(SPEND[2])), "CategoryName")
+    return report(m, M.PO, SPEND, ["CategoryName"], {"dim_category": ["CategoryName"]}).orderBy(F.desc(name(SPEND[2])), "CategoryName")
 
 
-@query("R13_top_maverick_suppliers", "SupplierID:string " + _columns(SPEND), f"SELECT POSupplierID AS SupplierID, {_sql(SPEND)} FROM fact_po GROUP BY 1 ORDER BY {name(SPEND[2])} DESC, 1 LIMIT 10")
+@query("R13_top_maverick_suppliers", "SupplierID:string " + _columns(SPEND), f"SELECT POSupplierID AS SupplierID, {_sql(SPEND)} FROM fact_po GROUP BY 1")
 def _(m):
-    return top_n(report(m, M.PO, SPEND, ["SupplierID"], {}), 10, F.desc(name(SPEND[2])), "SupplierID")
+    return report(m, M.PO, SPEND, ["SupplierID"], {}).orderBy(F.desc(name(SPEND[2])), "SupplierID")
 
 
 @query("R14_compliance_by_unit", "BusinessUnitName:string contract_compliance_pct:double maverick_spend_pct:double", f"""
@@ -147,9 +152,9 @@ def _(m):
     return top_n(_risk_with_spend(m), 10, F.desc("RiskScore"), "SupplierID")
 
 
-@query("R15_top_overdue_suppliers", "SupplierID:string overdue_open_deliveries:long", "SELECT SupplierID, sum(OverdueOpenPOItemCount) AS overdue_open_deliveries FROM fact_perf WHERE SupplierID IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+@query("R15_top_overdue_suppliers", "SupplierID:string overdue_open_deliveries:long", "SELECT SupplierID, sum(OverdueOpenPOItemCount) AS overdue_open_deliveries FROM fact_perf WHERE SupplierID IS NOT NULL GROUP BY 1")
 def _(m):
-    return top_n(report(m, M.PERF, ["Overdue Open Deliveries"], ["SupplierID"], {}, "SupplierID IS NOT NULL"), 10, F.desc("overdue_open_deliveries"), "SupplierID")
+    return report(m, M.PERF, ["Overdue Open Deliveries"], ["SupplierID"], {}, "SupplierID IS NOT NULL").orderBy(F.desc("overdue_open_deliveries"), "SupplierID")
 
 
 @query("R16_quality_trend", "PerformanceYear:int supplier_otd_pct:double supplier_quality_index:double", f"SELECT PerformanceYear, {_sql([PERFORMANCE[0], PERFORMANCE[2]])} FROM fact_perf GROUP BY 1")
@@ -157,19 +162,19 @@ def _(m):
     return report(m, M.PERF, [PERFORMANCE[0], PERFORMANCE[2]], ["PerformanceYear"], {}).orderBy("PerformanceYear")
 
 
-@query("R17_performance_and_risk", "SupplierID:string supplier_otd_pct:double supplier_quality_index:double RiskScore:double", f"""
-    SELECT p.*, round(r.SupplierRiskScore, 4) AS RiskScore FROM (SELECT SupplierID, {_sql([PERFORMANCE[0], PERFORMANCE[2]])} FROM fact_perf WHERE PerformanceYear = 2000 GROUP BY 1) p
+@query("R17_performance_and_risk", "SupplierID:string " + _columns(YEAR_CARDS) + " RiskScore:double", f"""
+    SELECT p.*, round(r.SupplierRiskScore, 4) AS RiskScore FROM (SELECT SupplierID, {_sql(YEAR_CARDS)} FROM fact_perf WHERE PerformanceYear = 2000 GROUP BY 1) p
     LEFT JOIN {_LATEST_RISK} r ON r.SupplierID = p.SupplierID""")
 def _(m):
-    year = report(m, M.PERF, [PERFORMANCE[0], PERFORMANCE[2]], ["SupplierID"], {}, "PerformanceYear = 2000")
+    year = report(m, M.PERF, YEAR_CARDS, ["SupplierID"], {}, "PerformanceYear = 2000")
     return year.join(_risk_with_spend(m).select("SupplierID", "RiskScore"), "SupplierID", "left")
 
 
 @query("R18_top_anomaly_categories", "CategoryName:string pricing_anomalies:long", f"""
-    SELECT CategoryName, {_sql(['Pricing Anomalies'])} FROM {_LATEST_PRICE} JOIN c_category USING (CategoryID) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
+    SELECT CategoryName, {_sql(['Pricing Anomalies'])} FROM {_LATEST_PRICE} JOIN c_category USING (CategoryID) GROUP BY 1""")
 def _(m):
     per = report(m, M.PRICE, ["Pricing Anomalies"], ["CategoryName"], {"dim_category": ["CategoryName"]}, frame=M.latest_snapshot(m[M.PRICE]))
-    return top_n(per, 10, F.desc("pricing_anomalies"), "CategoryName")
+    return per.orderBy(F.desc("pricing_anomalies"), "CategoryName")
 
 
 @query("R18_anomaly_exposure", "SupplierID:string exposure:double", f"""
@@ -178,11 +183,12 @@ def _(m):
     return M.spend_of_anomalies(m).groupBy("SupplierID").agg(F.sum("EligibleSpendEUR").alias("exposure")).orderBy(F.desc("exposure"))
 
 
-@query("R19_top_opportunities", "SupplierID:string CategoryName:string Savings:double NegotiationPriority:string", f"""
-    SELECT SupplierID, CategoryName, saving AS Savings, NegotiationPriority FROM {_LATEST_OPP} JOIN c_category USING (CategoryID) ORDER BY 3 DESC, 1, 2 LIMIT 20""")
+@query("R19_top_opportunities", "SupplierID:string CategoryName:string Savings:double ActionableSavings:double NegotiationPriority:string", f"""
+    SELECT SupplierID, CategoryName, saving AS Savings, CASE WHEN ActionableOpportunityFlag = 1 THEN saving ELSE 0 END AS ActionableSavings, NegotiationPriority FROM {_LATEST_OPP} JOIN c_category USING (CategoryID)""")
 def _(m):
     f = M.star(m, M.OPP, {"dim_category": ["CategoryName"]}, frame=M.latest_snapshot(m[M.OPP])).withColumn("Savings", F.col("PotentialAnnualSavingsEUR"))
-    return top_n(f, 20, F.desc("Savings"), "SupplierID", "CategoryName")
+    f = f.withColumn("ActionableSavings", F.when(F.col("ActionableOpportunityFlag") == 1, F.col("Savings")).otherwise(0))
+    return f.orderBy(F.desc("Savings"), "SupplierID", "CategoryName")
 
 
 @query("R20_savings_trend", "Year:int Forecast:double Approved:double Realized:double", """
@@ -198,10 +204,10 @@ def _(m):
 
 
 @query("R21_weighted_by_category", "CategoryName:string weighted_forecast_savings:double", f"""
-    SELECT CategoryName, {_sql(['Weighted Forecast Savings'])} FROM fact_sav JOIN c_category USING (CategoryID) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
+    SELECT CategoryName, {_sql(['Weighted Forecast Savings'])} FROM fact_sav JOIN c_category USING (CategoryID) GROUP BY 1""")
 def _(m):
     per = report(m, M.SAV, ["Weighted Forecast Savings"], ["CategoryName"], {"dim_category": ["CategoryName"]})
-    return top_n(per, 10, F.desc("weighted_forecast_savings"), "CategoryName")
+    return per.orderBy(F.desc("weighted_forecast_savings"), "CategoryName")
 
 
 @query("R21_approved_vs_realized", "BusinessUnitName:string approved_savings:double realized_savings:double", f"""
@@ -210,8 +216,10 @@ def _(m):
     return report(m, M.SAV, ["Approved Savings", "Realized Savings"], ["BusinessUnitName"], {"dim_business_unit": ["BusinessUnitName"]})
 
 
-@query("R22_project_list", "SavingsProjectID:string SavingsProjectName:string CategoryName:string BusinessUnitName:string ProjectStatus:string Forecast:double", """
-    SELECT SavingsProjectID, SavingsProjectName, CategoryName, BusinessUnitName, ProjectStatus, fore_eur / 100.0 AS Forecast FROM fact_sav JOIN c_category USING (CategoryID) JOIN c_bu USING (BusinessUnitID)""")
+@query("R22_project_list", "SavingsProjectID:string SavingsProjectName:string CategoryName:string BusinessUnitName:string ProjectStatus:string SupplierID:string Forecast:double Weighted:double Approved:double Realized:double", """
+    SELECT SavingsProjectID, SavingsProjectName, CategoryName, BusinessUnitName, ProjectStatus, SupplierID, fore_eur / 100.0 AS Forecast,
+      wf_eur / 100.0 AS Weighted, appr_eur / 100.0 AS Approved, real_eur / 100.0 AS Realized FROM fact_sav JOIN c_category USING (CategoryID) JOIN c_bu USING (BusinessUnitID)""")
 def _(m):
     f = M.star(m, M.SAV, {"dim_category": ["CategoryName"], "dim_business_unit": ["BusinessUnitName"]})
-    return f.withColumn("Forecast", F.col("ForecastedSavingsEUR")).orderBy(F.desc("Forecast"), "SavingsProjectID")
+    amounts = {"Forecast": "ForecastedSavingsEUR", "Weighted": "WeightedForecastSavingsEUR", "Approved": "ApprovedSavingsEUR", "Realized": "RealizedSavingsEUR"}
+    return f.withColumns({k: F.col(c) for k, c in amounts.items()}).orderBy(F.desc("Forecast"), "SavingsProjectID")
