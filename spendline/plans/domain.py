@@ -442,12 +442,12 @@ def _(m):
 
 
 @query("O45_run_metadata", "EngineName:string Kind:string Name:string Value:double", """
-    SELECT 'SavingsOpportunityEngine' AS EngineName, Kind, Name, Value FROM (
+    SELECT 'SupplierCategorySavings' AS EngineName, Kind, Name, Value FROM (
       SELECT 'PARAMETER' AS Kind, 'MaxVariancePct' AS Name, 50.0 AS Value UNION ALL SELECT 'PARAMETER', 'MaverickRate', 0.03
       UNION ALL SELECT 'METRIC', 'Opportunities', count(*) FROM prio UNION ALL SELECT 'METRIC', 'Actionable', sum(ActionableOpportunityFlag) FROM prio)""")
 def _(m):
     metrics = m["prioritised"].agg(F.count("*").alias("Opportunities"), F.sum("ActionableOpportunityFlag").alias("Actionable"))
-    return OP.run_metadata(m.spark, "SavingsOpportunityEngine", "1.0", {"MaxVariancePct": OP.MAX_VARIANCE_PCT, "MaverickRate": OP.MAVERICK_RATE}, metrics)
+    return OP.run_metadata(m.spark, "SupplierCategorySavings", "1.0", {"MaxVariancePct": OP.MAX_VARIANCE_PCT, "MaverickRate": OP.MAVERICK_RATE}, metrics)
 
 
 @query("O46_promote", "POItemID:string SupplierDimensionVersion:int PredictionDateKey:int HasFactKey:boolean PromotionBatchID:string", """
