@@ -17,6 +17,7 @@ from spendline.llm.words import shingles
 from spendline.session import stage_path
 
 CANDIDATES = 200_000    # terms of toxic documents that are counted in clean ones (those in most toxic documents)
+LEAST_SHARE = 0.01      # share of the toxic documents (three at least) in which a term must stand: less may be one text and its edited copies
 TERMS = 3_000           # terms of the lexicon at most
 SAMPLE = 20_000         # labelled documents from which the weights of the contexts are fitted
 LABELS_SENT = 2_000_000  # as many labels at most are broadcast (48 MB); beyond, Spark joins by shuffle
@@ -234,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 total.update(terms if among is None else among & terms)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
 
-    least = max(3, math.ceil(0.004 * toxic))
+    least = max(3, math.ceil(LEAST_SHARE * toxic))
     found = (train.where("toxic = 1").select("text").mapInArrow(lambda b: count(b, None), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(CANDIDATES).toArrow())
     in_toxic = dict(zip(found.column("term").to_pylist(), found.column("n").to_pylist()))
