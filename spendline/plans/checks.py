@@ -396,7 +396,7 @@ def _(m):
     return QL.results([
         QL.fk_rule(inv, "fact_invoice", ["PurchaseOrderFactKey"], po, ["PurchaseOrderFactKey"], "fact_purchase_order", nullable=True).withColumn("ValidationRule", F.lit("order key in fact_purchase_order")),
         QL.row_rules(inv, "fact_invoice", [Rule("order id agrees", ~F.col("POIDFactConsistencyFlag"))]),
-        QL.count_rule(QL.disagreements(inv, po, "PurchaseOrderFactKey", {"CategoryKey": "CategoryKey"}), "fact_invoice", "category key agrees"),
+        QL.count_rule(QL.disagreements(inv, po, "POItemID", {"CategoryKey": "CategoryKey"}), "fact_invoice", "category key agrees"),
         QL.count_rule(reconcile(yearly, score, ["Year"], ["Spend"], 0.05).where("NOT ReconciledFlag"), "fact_purchase_order", "yearly spend equals scorecard")])
 
 

@@ -221,8 +221,8 @@ for _measure in MEASURES:
 # ---------------------------------------------------------------------- spend of flagged keys
 
 def spend_of_anomalies(m) -> DataFrame:
-    flagged = latest_snapshot(m[PRICE]).where("PricingAnomalyFlag = 1").select("PurchaseOrderFactKey")
-    return treat_as(m[PO], flagged, "PurchaseOrderFactKey")
+    flagged = latest_snapshot(m[PRICE]).where("PricingAnomalyFlag = 1").select("POItemID")
+    return treat_as(m[PO], flagged, "POItemID")
 
 
 def spend_of_high_risk(m) -> DataFrame:
