@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import base64
+import json
+import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +21,10 @@ class WordEncoder:
     The pre-tokeniser of the vocabulary never joins a space to what stands before it, so a text can be cut before every
     single space without changing its ids. The distinct words of a batch are encoded in one call, and the lengths of the
     tokens tell where each word ends. The ids equal those that `tokenizers` gives with the JSON file of the same vocabulary
-    (tested).
+    and `add_special_tokens=False` (tested): a text is first cut at the `added` tokens, which have ids of their own.
     """
 
-    def __init__(self, ranks_file: str, pattern: str):
+    def __init__(self, ranks_file: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -29,6 +32,8 @@ class WordEncoder:
         for token, rank in ranks.items():
             self._bytes[rank] = len(token)
         self._ids = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._added = added or {}
+        self._cut = "|".join(re.escape(t) for t in sorted(self._added, key=len, reverse=True))
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word with a space before it: flat, and where each word's ids start (one more entry than words)."""
@@ -43,6 +48,28 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.string()), "")
+        marked = np.zeros(len(texts), bool)
+        for token in self._added:
+            marked |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return self._plain(texts)
+        # what lies between added tokens is a text of its own; an added token is an empty one until its id is put in
+        cut, parts, fixed, owner = re.compile(f"({self._cut})"), [], [], []
+        for k, text in enumerate(texts.to_pylist()):
+            for n, part in enumerate(cut.split(text) if marked[k] else [text]):
+                parts.append("" if n % 2 else part)
+                fixed.append(self._added[part] if n % 2 else -1)
+                owner.append(k)
+        flat, sizes = self._plain(pa.array(parts, pa.string()))
+        fixed, starts = np.array(fixed, np.int64), np.cumsum(sizes) - sizes
+        at = np.flatnonzero(fixed >= 0)
+        flat = np.insert(flat, starts[at], fixed[at])
+        sizes[at] = 1
+        ends = np.searchsorted(owner, np.arange(len(texts)), "right")
+        return flat, np.diff(np.concatenate([[0], np.cumsum(sizes)[ends - 1]]))
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts in which no added token counts."""
         wide = pc.match_substring_regex(texts, _WIDE)
         pieces = pc.split_pattern(pc.if_else(wide, "", texts), " ")
         counts = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -64,13 +91,23 @@ class WordEncoder:
         return gathered, sums[first + counts] - sums[first]
 
 
+def added_tokens(json_file: Path) -> dict[str, int]:
+    """The added tokens that a tokenizer file lists, and their ids; none if there is no such file."""
+    if not json_file.exists():
+        return {}
+    listed = json.loads(json_file.read_text(encoding="utf-8"))["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in listed):
+        raise ValueError("added tokens that depend on what stands beside them")
+    return {t["content"]: t["id"] for t in listed}
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(ranks_file: str | None = None) -> WordEncoder:
-    """The worker's encoder for a rank file; by default the public 50k byte-level vocabulary."""
+    """The worker's encoder for a rank file (added tokens: from the JSON file beside it); by default the public 50k byte-level vocabulary."""
     import public_tokenizers as public
     key = ranks_file or public.path("byte_bpe_50k.tiktoken")
     if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(key, public.PATTERN)
+        _ENCODERS[key] = WordEncoder(key, public.PATTERN, added_tokens(Path(key).with_suffix(".json")))
     return _ENCODERS[key]

@@ -44,6 +44,19 @@ def test_ids_equal_those_of_tokenizers():
     assert sizes.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    public = pytest.importorskip("public_tokenizers")
+    reference = pytest.importorskip("tokenizers").Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", end, end * 2, f"x{end}y", f" {end} ", f"a  {end}  b\n{end}", "plain", "", "<|endoftext|", f"{end} some more words", f"a \n {end}\n b "]
+    want = [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    flat, sizes = tokens.encoder().encode(pa.array([*texts, None]))
+    assert sizes.tolist() == [len(x) for x in want] + [0] and flat.tolist() == [i for x in want for i in x]
+    out = packing.pack_documents(documents(spark, list(enumerate(texts)))).collect()
+    assert all([i for r in sorted(out, key=lambda r: r.start) if r.doc_id == k for i in r.ids] == [*ids, 0] for k, ids in enumerate(want))
+
+
 def test_packing_keeps_every_id_once(spark):
     rows = [(i, words(RANDOM.choice([1, 3, 40, 900]))) for i in range(150)] + [(None, "x y"), (500, None), (501, ""), (7, "again"), (7, "again")] + list(enumerate(ODD, 600))
     out = packing.pack_documents(documents(spark, rows).repartition(3)).collect()
