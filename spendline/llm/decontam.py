@@ -15,7 +15,7 @@ from spendline.llm.words import hash_words, mix, rolling, split_words
 from spendline.session import stage_path
 
 FILTER_BITS = 23        # the filter of benchmark windows has 2^23 bits (1 MB), whatever the number of items
-LEAST_TOKENS = 3        # items with fewer tokens are no evidence and match nothing
+LEAST_TOKENS = 3        # an item with fewer tokens is no evidence inside of a text: it matches a text that is the same words and nothing else
 FEW_KEYS = 500_000      # as many flagged documents at most are broadcast
 
 # Fixed words of slots.
@@ -43,8 +43,8 @@ def _classify(word: str) -> tuple[int, str, bool, bool]:
     return _LITERAL, lowered, bare[0].isupper() and bare[1:].islower(), ends
 
 
-def templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]]:
-    """For each text its tokens: template hashes, whether each is a slot, and its number in the list of bare words. A word of punctuation is no token.
+def templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
+    """For each text its tokens: template hashes, word hashes, whether each is a slot, and its number in the list of bare words. A word of punctuation is no token.
 
     A capitalised word inside a sentence is a name.
     """
@@ -63,14 +63,17 @@ def templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray,
             kind[1:][(kind[1:] == _LITERAL) & capital[codes[1:]] & ~ends[codes[:-1]]] = _NAME
         real = kind != _NOTHING
         codes, kind = codes[real], kind[real]
-        out.append((np.where(kind == _LITERAL, hashes[codes], _SLOT[np.maximum(kind, 1) - 1]), kind != _LITERAL, codes, bare))
+        own = hashes[codes]
+        out.append((np.where(kind == _LITERAL, own, _SLOT[np.maximum(kind, 1) - 1]), own, kind != _LITERAL, codes, bare))
     return out
 
 
 def _windows(frame: DataFrame, widths: list[int], least_literals: float, sent: Broadcast | None) -> DataFrame:
-    """`id`, `version`, `h` (template window), `at`, `n` (windows of the text) and `slots` of all windows, or of those that pass the filter `sent`.
+    """`id`, `version`, `h` (hash of the window), `at`, `n` (windows of the text) and `slots` of all windows, or of those that pass the filter `sent`.
 
-    Without a filter a text has windows of the largest width that fits it, with one of every width.
+    A window with too few literals for a template, or of fewer than `LEAST_TOKENS` tokens, is hashed by its bare words and has no `slots`. With a filter, a text has
+    windows of every width, each once. Without one, it has windows of the largest width that fits it, and those with a template by their bare words too,
+    as the same words can be other slots beside other neighbours. A text of fewer than `LEAST_TOKENS` tokens is one window.
     """
     kind = frame.schema["id"].dataType.simpleString()
 
@@ -80,19 +83,23 @@ def _windows(frame: DataFrame, widths: list[int], least_literals: float, sent: B
             for begin in range(0, batch.num_rows, 1000):
                 part = batch.slice(begin, 1000)
                 rows: list[tuple] = []
-                for k, (h, slot, codes, bare) in enumerate(templates(part.column("text"))):
-                    fitting = [w for w in widths if w <= len(h)]
+                for k, (h, own, slot, codes, bare) in enumerate(templates(part.column("text"))):
+                    fitting = [w for w in widths if w <= len(h)] or ([len(h)] if 0 < len(h) < LEAST_TOKENS else [])
+                    slots_before = np.concatenate([[0], np.cumsum(slot)])
                     for width in fitting if bits is not None else fitting[-1:]:
+                        exact = slots_before[width:] - slots_before[:-width] > (width * (1 - least_literals) if width >= LEAST_TOKENS else -1)
                         run_hash = mix(rolling(h, width) + np.uint64(width))
-                        slots_before = np.concatenate([[0], np.cumsum(slot)])
-                        good = slots_before[width:] - slots_before[:-width] <= width * (1 - least_literals)
+                        words_hash = mix(rolling(own, width) + np.uint64(width)) if bits is None or exact.any() else run_hash
+                        run_hash = np.where(exact, words_hash, run_hash)
                         if bits is not None:
                             where = (run_hash >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                            good &= (bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1
-                        hits = np.flatnonzero(good)
+                            hits = np.flatnonzero((bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1)
+                        else:
+                            hits = np.arange(len(run_hash))
+                            rows += [(k, int(words_hash[a].view(np.int64)), a, len(exact), []) for a in np.flatnonzero(words_hash != run_hash).tolist()]
                         for a in hits.tolist():
-                            values = [bare[codes[x]] for x in range(a, a + width) if slot[x]]
-                            rows.append((k, int(run_hash[a].view(np.int64)), a, len(good), values))
+                            values = [] if exact[a] else [bare[codes[x]] for x in range(a, a + width) if slot[x]]
+                            rows.append((k, int(run_hash[a].view(np.int64)), a, len(exact), values))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(pa.array([r[0] for r in rows], pa.int64())), part.column("version").take(pa.array([r[0] for r in rows], pa.int64())),
                      pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64()),
@@ -111,8 +118,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document and benchmark item that it leaks: `id`, `version` (hash of the text), `item_id`, `n_windows` (matched windows of the
     item), `item_windows`, `n_slots` (distinct slot values) and `verbatim` (no slot value was changed).
 
-    Windows of `width` template tokens are compared, items with fewer tokens as a whole (at least `LEAST_TOKENS`). At least
-    the share `least_literals` of a window must be literal. Along one alignment of document and item the slots must map one to one: a value of
+    Windows of `width` template tokens are compared, items with fewer tokens as a whole. If less than the share `least_literals` of a window is
+    literal, its bare words must be the same (no slots, so `n_slots` does not count them). Items of fewer than `LEAST_TOKENS` tokens match texts of the same words. Along one alignment of document and item the slots must map one to one: a value of
     the item stands for one value of the document and the other way round, else it is another text with the same frame.
 
     A filter of fixed size keeps windows that no item has from being shuffled; what passes is joined by hash.

@@ -222,6 +222,14 @@ def test_templates_find_changed_slots_and_refuse_mixed_ones(spark):
     assert decontam.contaminated(documents(spark, rows), benchmark.limit(0)).count() == 0
 
 
+def test_items_that_are_mostly_slots_match_word_for_word(spark):
+    items = {20: "Compute 12 + 7 * 3 - 4 / 2", 21: "Who Wrote The Famous Novel War And Peace In Russia", 22: "Convert 5 km 30 m 12 cm to 7 ft", 23: "Why not", 24: "3 1 4 1 5 9 2 6 5 3 5"}
+    rows = [(k, f"some quite ordinary words before . {text} . and after") for k, text in items.items()] + [(30, "Compute 12 + 7 * 3 - 4 / 9"), (31, "why NOT?"), (32, items[21].lower()), (33, "")]
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.id, r.item_id): r for r in decontam.contaminated(documents(spark, rows), benchmark).collect()}
+    assert set(got) == {(20, 20), (21, 21), (22, 22), (24, 24), (31, 23), (32, 21)} and all(r.verbatim for r in got.values())
+
+
 # ---------------------------------------------------------------------- main text
 
 WEIGHTS = {"words": html_extract.WORDS, "tags": html_extract.TAGS}
