@@ -119,8 +119,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item), `item_windows`, `n_slots` (distinct slot values) and `verbatim` (no slot value was changed).
 
     Windows of `width` template tokens are compared, items with fewer tokens as a whole. If less than the share `least_literals` of a window is
-    literal, its bare words must be the same (no slots, so `n_slots` does not count them). Items of fewer than `LEAST_TOKENS` tokens match texts of the same words. Along one alignment of document and item the slots must map one to one: a value of
-    the item stands for one value of the document and the other way round, else it is another text with the same frame.
+    literal, its bare words must be the same (no slots, so `n_slots` does not count them). Items of fewer than `LEAST_TOKENS` tokens match texts of the same words. A window with
+    the item's own slot values, or without slots, counts by itself. Along one alignment of document and item the slots of all other windows must map one to one: a
+    value of the item stands for one value of the document and the other way round, else these windows are another text with the same frame and do not count.
 
     A filter of fixed size keeps windows that no item has from being shuffled; what passes is joined by hash.
 
@@ -142,13 +143,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     searched = widths if items.where(F.col("item_windows") == 1).limit(1).count() else [width]
     _windows(_texts(docs, id_col, text_col), searched, least_literals, used).write.parquet(f"{base}/hits")
     hits = spark.read.parquet(f"{base}/hits").drop("n").join(items, "h")
-    same = hits.withColumn("pair", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))))
+    changed = F.col("item_slots") != F.col("slots")
+    same = hits.withColumn("changed", changed).withColumn("pair", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))))
+    distinct = lambda column, where: F.count_distinct(F.when(where, F.col(column)))      # noqa: E731
     aligned = same.groupBy("id", "version", "item_id", "item_windows", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.count_distinct("item_at").alias("n_windows"), F.count_distinct("pair").alias("pairs"), F.count_distinct("pair.item").alias("left"),
-        F.count_distinct("pair.doc").alias("right"), F.coalesce(F.bool_and(F.col("pair.item") == F.col("pair.doc")), F.lit(True)).alias("verbatim"))
-    good = aligned.where((F.col("pairs") == F.col("left")) & (F.col("pairs") == F.col("right")))
+        distinct("item_at", ~F.col("changed")).alias("equal"), distinct("item_at", F.col("changed")).alias("others"), distinct("pair", F.col("changed")).alias("pairs"),
+        distinct("pair.item", F.col("changed")).alias("left"), distinct("pair.doc", F.col("changed")).alias("right"),
+        distinct("pair", ~F.col("changed")).alias("equal_slots"), F.count_distinct("pair").alias("all_slots"))
+    one_to_one = (F.col("pairs") == F.col("left")) & (F.col("pairs") == F.col("right"))
+    good = aligned.select("id", "version", "item_id", "item_windows", (F.col("equal") + F.when(one_to_one, F.col("others")).otherwise(0)).alias("n_windows"),
+                          F.when(one_to_one, F.col("all_slots")).otherwise(F.col("equal_slots")).alias("slots"), (F.col("others") == 0).alias("verbatim")).where("n_windows > 0")
     return (good.groupBy("id", "version", "item_id").agg(F.sum("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"),
-                                                          F.max("pairs").alias("n_slots"), F.bool_or("verbatim").alias("verbatim"))
+                                                          F.max("slots").alias("n_slots"), F.bool_or("verbatim").alias("verbatim"))
             .where(F.col("n_windows") >= min_windows))
 
 

@@ -222,6 +222,19 @@ def test_templates_find_changed_slots_and_refuse_mixed_ones(spark):
     assert decontam.contaminated(documents(spark, rows), benchmark.limit(0)).count() == 0
 
 
+def test_a_changed_slot_does_not_hide_unchanged_windows(spark):
+    passage = " ".join(VOCABULARY[:30])
+    item = f"Take 12 steps {passage} and then go 12 steps on along the old road to the river"
+    frame = "the box of {} holds more than the box of {} but less than the box of {}"
+    rows = [(1, item.replace("go 12", "go 44")), (2, passage), (3, item), (4, item.replace("12", "44")), (5, frame.format(1, 2, 2)), (6, frame.format(4, 5, 6))]
+    benchmark = spark.createDataFrame([(10, item), (11, frame.format(1, 2, 3))], "item_id long, text string")
+    got = {(r.id, r.item_id): r for r in decontam.contaminated(documents(spark, rows), benchmark).collect()}
+    assert set(got) == {(1, 10), (2, 10), (3, 10), (4, 10), (5, 11), (6, 11)}
+    assert got[2, 10].n_windows < got[1, 10].n_windows == got[3, 10].n_windows and not got[1, 10].verbatim and got[2, 10].verbatim
+    reused = frame.format(7, 7, 8)      # changed windows alone, and not one to one
+    assert decontam.contaminated(documents(spark, [(7, reused)]), benchmark).count() == 0
+
+
 def test_items_that_are_mostly_slots_match_word_for_word(spark):
     items = {20: "Compute 12 + 7 * 3 - 4 / 2", 21: "Who Wrote The Famous Novel War And Peace In Russia", 22: "Convert 5 km 30 m 12 cm to 7 ft", 23: "Why not", 24: "3 1 4 1 5 9 2 6 5 3 5"}
     rows = [(k, f"some quite ordinary words before . {text} . and after") for k, text in items.items()] + [(30, "Compute 12 + 7 * 3 - 4 / 9"), (31, "why NOT?"), (32, items[21].lower()), (33, "")]
