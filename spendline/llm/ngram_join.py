@@ -52,6 +52,16 @@ def tree_overlaps(hub: np.ndarray, members: list[np.ndarray], percent: int) -> l
     return passed
 
 
+def set_hashes(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a whole set."""
+    return int(mix(s).sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(s * _SEEDS[0])).view(np.int64)) if len(s) else 0
+
+
+def min_hashes(s: np.ndarray) -> list[int]:
+    """`SKETCHES` min-hashes of a set; none of an empty one."""
+    return [int(x) for x in mix(s[None, :] * _SEEDS[:, None]).min(1).view(np.int64)] if len(s) else []
+
+
 def parities(s: np.ndarray) -> bytes:
     """For each residue of a power of two (at least twice the set size) whether an odd number of shingles has it, as bits."""
     bits = max(256, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 256
@@ -137,15 +147,16 @@ def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) ->
     def described(part: pa.RecordBatch, sets: list[np.ndarray], values: np.ndarray, rank: np.ndarray) -> pa.RecordBatch:
         s1, s2, sketches, parity, prefixes = [], [], [], [], []
         for s in sets:
-            s1.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
-            s2.append(int(np.bitwise_xor.reduce(mix(s * _SEEDS[0])).view(np.int64)) if len(s) else 0)
+            both = set_hashes(s)
+            s1.append(both[0])
+            s2.append(both[1])
             if len(values) and len(s):
                 at = np.minimum(np.searchsorted(values, s), len(values) - 1)
                 known = values[at] == s
             else:
                 known = np.zeros(len(s), bool)
             rare = s[~known]
-            sketches.append([int(x) for x in mix(s[None, :] * _SEEDS[:, None]).min(1).view(np.int64)] if len(s) else [])
+            sketches.append(min_hashes(s))
             parity.append(parities(s))
             length = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
             prefix = rare[:length]

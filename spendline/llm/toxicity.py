@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendline.llm.ngram_join import linked, min_hashes, parities, possible, set_hashes
 from spendline.llm.words import shingles
 from spendline.session import stage_path
 
@@ -21,6 +22,7 @@ LEAST_SHARE = 0.01      # share of the toxic documents (three at least) in which
 TERMS = 3_000           # terms of the lexicon at most
 SAMPLE = 20_000         # labelled documents from which the weights of the contexts are fitted
 LABELS_SENT = 2_000_000  # as many labels at most are broadcast (48 MB); beyond, Spark joins by shuffle
+COPY_WIDTH, COPY_PERCENT = 5, 75    # documents of one label are near copies from this Jaccard similarity of their sets of word shingles on
 STEMS = range(3, 8)     # lengths of word starts that can be terms
 CACHE = 500_000         # matched words that a worker remembers
 
@@ -198,7 +200,7 @@ def _fit_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Learn lexicon and weights from the labelled documents (null labels are none; of several labels of a document the largest holds).
 
-    Near copies count once: documents of equal label that share the min-hash of their five-word shingles. A term is a word or a
+    Near copies count once (see `first_copies`). A term is a word or a
     word start that is significantly more frequent in toxic documents. Counts cover all labelled documents; only the four
     weights come from a sample of at most `SAMPLE` (those with the smallest hash of their id).
     """
@@ -214,14 +216,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low = [int(s[0].view(np.int64)) if len(s) else 0 for s in shingles(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(low, pa.int64())], names=[*batch.schema.names, "sketch"])
-
-    joined.select("id", "text", "toxic").mapInArrow(signed, f"id {kind}, text string, toxic int, sketch long").write.parquet(f"{base}/labelled")
+            sets = shingles(batch.column("text"), COPY_WIDTH)
+            s1, s2 = zip(*map(set_hashes, sets)) if sets else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                 pa.array([min_hashes(s) for s in sets], pa.list_(pa.int64())), pa.array([parities(s) for s in sets], pa.binary())],
+                names=[*batch.schema.names, "n", "s1", "s2", "sketch", "parity"])
+
+    joined.select("id", "text", "toxic", F.monotonically_increasing_id().alias("key")).mapInArrow(
+        signed, f"id {kind}, text string, toxic int, key long, n long, s1 long, s2 long, sketch array<long>, parity binary").write.parquet(f"{base}/labelled")
     labelled = spark.read.parquet(f"{base}/labelled")
-    labelled.groupBy("sketch", "toxic").agg(F.min("id").alias("id")).write.parquet(f"{base}/chosen")
-    chosen = spark.read.parquet(f"{base}/chosen")
-    train = labelled.join(F.broadcast(chosen) if few else chosen, ["sketch", "toxic", "id"], "left_semi")
+    chosen = first_copies(labelled, base, few)
+    train = labelled.join(F.broadcast(chosen) if few else chosen, "key", "left_semi")
     sizes = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -257,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if terms:
         words = train.where("toxic = 0").select("text").mapInArrow(near, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
         model.known = set(words.limit(CANDIDATES).toArrow().column("word").to_pylist())
-        sample = train.orderBy(F.xxhash64("id"), "id").select("id", "toxic", "sketch").limit(SAMPLE)
+        sample = train.orderBy(F.xxhash64("id"), "id").select("key").limit(SAMPLE)
 
         def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lexicon = Lexicon(terms, model.known)
@@ -266,13 +272,37 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([batch.column("toxic"), *[pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]],
                                                  names=["toxic", "plain", "misspelled", "quoted"])
 
-        rows = (train.join(F.broadcast(sample), ["id", "toxic", "sketch"], "left_semi").select("text", "toxic")
+        rows = (train.join(F.broadcast(sample), "key", "left_semi").select("text", "toxic")
                 .mapInArrow(described, "toxic int, plain double, misspelled double, quoted double").toArrow())
         x = np.stack([rows.column(c).to_numpy() for c in ("plain", "misspelled", "quoted")], 1)
         model.weights = _fit_weights(x, rows.column("toxic").to_numpy().astype(float))
     return model
 
 
+def first_copies(labelled: DataFrame, base: str, few: bool) -> DataFrame:
+    """`key` and `toxic` of the rows of `labelled` that are no near copies of a row of the same label with a smaller id.
+
+    Of equal shingle sets the smallest id stays. A row is a near copy if its set reaches `COPY_PERCENT` with the set of the first row in one of its min-hash
+    buckets; every such pair is verified, so rows that only share a passage stay. `few`: the keys may be broadcast.
+    """
+    spark = labelled.sparkSession
+    first = F.min(F.struct("id", "key"))["key"]
+    labelled.groupBy("s1", "s2", "n", "toxic").agg(first.alias("key")).select("key").write.parquet(f"{base}/distinct")
+    distinct = spark.read.parquet(f"{base}/distinct")
+    sets = labelled.drop("text").join(F.broadcast(distinct) if few else distinct, "key", "left_semi")
+    buckets = sets.select("id", "key", "toxic", F.posexplode("sketch").alias("k", "value"))
+    buckets.groupBy("k", "value", "toxic").agg(first.alias("a"), F.count("*").alias("m")).where("m > 1").drop("m").write.parquet(f"{base}/leaders")
+    pairs = buckets.join(spark.read.parquet(f"{base}/leaders"), ["k", "value", "toxic"]).where("a <> key").select("a", F.col("key").alias("b")).distinct()
+    possible(pairs, sets.select(F.col("key").alias("id"), "n", "parity"), COPY_PERCENT).write.parquet(f"{base}/pairs")
+    pairs = spark.read.parquet(f"{base}/pairs")
+    met = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+    texts = labelled.select("key", "text").join(F.broadcast(met) if few else met, "key", "left_semi").select(F.col("key").alias("id"), "text")
+    linked(pairs, texts, COPY_WIDTH, COPY_PERCENT).select(F.col("b").alias("key")).distinct().write.parquet(f"{base}/near")
+    near = spark.read.parquet(f"{base}/near")
+    sets.select("key", "toxic").join(F.broadcast(near) if few else near, "key", "left_anti").write.parquet(f"{base}/chosen")
+    return spark.read.parquet(f"{base}/chosen")
+
+
 def choose_terms(in_toxic: dict[str, int], in_clean: dict[str, int], toxic: int, clean: int) -> dict[str, float]:
     """Terms whose share in toxic documents is beyond chance, with strengths in (0, 1].
 

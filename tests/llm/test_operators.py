@@ -331,6 +331,28 @@ def test_toxicity_learns_from_labels(spark):
     assert toxicity.fit(docs, labels.limit(0)).terms == {} and toxicity.fit(docs.limit(0), labels).terms == {}
 
 
+def test_only_verified_copies_count_once(spark):
+    rng = random.Random(8)
+    some = lambda n: " ".join(rng.choice(VOCABULARY) for _ in range(n))      # noqa: E731
+    passage, body = some(60), some(80)
+    # a shared passage makes no copies; equal sets and one changed word do
+    rows = [(k, f"{passage} {some(40)} grumpf {some(5)}") for k in range(30)] + [(100 + k, f"{passage} {some(40)}") for k in range(40)]
+    rows += [(200, f"{body} grumpf"), (201, f"{body} GRUMPF"), (202, f"{body} grumpf x"), (202, f"{body} grumpf x"), (203, f"{body} grumpf"), (204, ""), (205, " ")]
+    labels = spark.createDataFrame([(i, int("grumpf" in t.lower() and i != 203)) for i, t in dict(rows).items()], "doc_id long, toxic int")
+    seen, choose = {}, toxicity.choose_terms
+
+    def spy(in_toxic, in_clean, toxic, clean):
+        seen.update(grumpf=in_toxic["grumpf"], toxic=toxic, clean=clean, among=in_clean.get("grumpf"))
+        return choose(in_toxic, in_clean, toxic, clean)
+
+    toxicity.choose_terms = spy
+    try:
+        model = toxicity.fit(documents(spark, rows).repartition(3), labels)
+    finally:
+        toxicity.choose_terms = choose
+    assert seen == {"grumpf": 31, "toxic": 31, "clean": 42, "among": 1} and "grumpf" in model.terms
+
+
 # ---------------------------------------------------------------------- personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
