@@ -31,7 +31,7 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 WORDS = {"article": 2.0, "plain": 1.0, "link": -1.0, "outside": -2.0}      # before any page is seen
 TAGS = {"article": -0.1, "plain": -0.3, "link": -0.3, "outside": -1.0}
-DROPPED = -3.0                                                              # a word or tag inside an element that is never main text
+DROPPED = -3.0                                                              # a word or tag inside an element that is never main text, beside the page's article
 
 
 def _excluded(name: str, attributes: str) -> bool:
@@ -50,7 +50,7 @@ def scan(page: str) -> list[tuple[str, str, str]]:
     """Tokens of a page in order: (kind, value, context).
 
     Kinds: `text`, `block` (a tag that ends a block), `inline`. Contexts: `dropped` (inside an element that is never main text), `inset` (the
-    same, in an article or main element: left out, but no reason to end the region), `article` (inside the page's article, or its main element when it has no article), `outside` (of that element), `link`,
+    same, in an article or main element or on a page with neither: left out, but no reason to end the region), `article` (inside the page's article, or its main element when it has no article), `outside` (of that element), `link`,
     `plain` (on a page with neither).
     """
     tokens: list[tuple[str, str, int, bool, bool, bool]] = []      # kind, value, dropped depth, in article, in main, in link
@@ -100,7 +100,7 @@ def scan(page: str) -> list[tuple[str, str, str]]:
     out = []
     for kind, value, dropped, in_article, in_main, in_link in tokens:
         if dropped:
-            context = "inset" if in_article or in_main else "dropped"
+            context = "dropped" if (has_article or has_main) and not (in_article or in_main) else "inset"
         elif has_article or has_main:
             context = "article" if (in_article if has_article else in_main) else "outside"
         else:

@@ -262,6 +262,16 @@ def test_main_text(name):
     assert html_extract.extract(PAGES[name][0], WEIGHTS) == PAGES[name][1]
 
 
+@pytest.mark.parametrize("block", ["<div class=ad>five words of an advert</div>", "<form><label>your name here please now</label><input></form>", "<aside><p>" + "more of it " * 90 + "</aside>",
+                                   "<div class=share><a>share</a><a>send</a></div><div class='cookie-notice'>" + "we use cookies " * 30 + "</div>"])
+def test_a_left_out_block_does_not_end_the_region_of_a_plain_page(block):
+    short, long = "<p>ten words of text that stand before what is inserted</p>", "<p>" + "and then twice as many words of it " * 3 + "</p>"
+    text = lambda *parts: "\n".join(" ".join(p[3:-4].split()) for p in parts)      # noqa: E731
+    for before, after in ((short, long), (long, short), (long, long)):
+        assert html_extract.extract(f"<body><div id=menu>Home</div>{before}{block}{after}<footer>end</footer></body>", WEIGHTS) == text(before, after)
+    assert html_extract.extract(f"<article>{long}</article>{block}<div><p>other</p></div>", WEIGHTS) == text(long)
+
+
 def test_main_text_of_a_table(spark):
     rows = [(k, f"http://x/{k}", page, "old", 3) for k, (page, _) in enumerate(PAGES.values())] + [(None, None, None, None, None), (0, "again", PAGES["article"][0], "", 0)]
     out = html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
