@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import chat, decontam, html_extract, line_dedup, multi_index, ngram_join, packing, pii, toxicity, warc
+from spendline.llm import (chat, decontam, filter_audit, html_extract, line_dedup, multi_index, ngram_join, packing, pii, secret_scan, toxicity, warc)
 from spendline.llm.sql import ORACLES
 from spendline.session import stage_path
 
@@ -86,6 +86,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.regexp_extract("refers_to", "^<urn:capture:response:([0-9-]*):", 1), F.lit("")).cast("long").alias("refers_to"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from each language, in every order."""
+    counts = filter_audit.outcomes(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts)
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in all documents; a document is a repository, its source the owner."""
+    found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+    named = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")     # noqa: E731
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")       # noqa: E731
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secret_scan.BASE],
+                        F.sha2(named(F.filter("spans", lambda x: x["base"])).cast("binary"), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"),
+                        named(F.filter("spans", lambda x: x["verdict"] == "live")).alias("live_spans"),
+                        named(F.filter("spans", lambda x: x["verdict"] == "example")).alias("example_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -97,4 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_secrets": op13_secrets,
 }

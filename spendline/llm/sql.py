@@ -22,4 +22,59 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
         FROM lines l LEFT JOIN common c ON l.key = c.key GROUP BY doc_id""",
+    "op12_filter_audit": r"""
+        WITH flags AS (
+            SELECT part, CASE WHEN len(words) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask,
+                   EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1) AS good,
+                   EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1) AS toxic
+            FROM (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents) d),
+        counts AS (SELECT part, mask, count(*) AS docs, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM flags GROUP BY part, mask),
+        letter AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(f, b)),
+        perms AS (
+            SELECT v.f || w.f || x.f || y.f || z.f AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bits
+            FROM letter v JOIN letter w ON w.f <> v.f JOIN letter x ON x.f NOT IN (v.f, w.f) JOIN letter y ON y.f NOT IN (v.f, w.f, x.f) JOIN letter z ON z.f NOT IN (v.f, w.f, x.f, y.f)),
+        steps AS (
+            SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[:step - 1]), 0)::INT AS state
+            FROM perms, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        rows AS (
+            SELECT part, filter_order, step, bit, coalesce(sum(docs) FILTER (WHERE mask & (state | bit) = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(docs) FILTER (WHERE mask & state = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+                   coalesce(sum(docs) FILTER (WHERE mask & state <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(docs) FILTER (WHERE mask = bit), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(good) FILTER (WHERE mask & state = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+                   coalesce(sum(toxic) FILTER (WHERE mask & state = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+            FROM counts, steps GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM rows""",
+    "op13_secrets": r"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+        patterns AS (SELECT * FROM (VALUES
+            (0, 'assign', '(?i:(?:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'), (1, 'access', '(AKIA[A-Z0-9]{14,})'), (2, 'hex', '([0-9a-f]{16,})'),
+            (3, 'opaque', '([A-Za-z0-9+/_-]{20,})'), (4, 'login', '[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20/:@]+:([^\x00-\x20/:@]+)@')) AS v(rank, kind, p)),
+        cut AS (
+            SELECT r, doc_id, source, rank, kind, regexp_extract_all(t, p, 0) AS whole, regexp_extract_all(t, p, 1) AS vals,
+                   string_split(regexp_replace(t, p, chr(1), 'g'), chr(1)) AS gaps FROM docs, patterns),
+        nth AS (
+            SELECT r, doc_id, source, rank, kind, whole[i] AS span, vals[i] AS val,
+                   list_sum(list_transform(gaps[:i], lambda g: length(g))) + coalesce(list_sum(list_transform(whole[:i - 1], lambda g: length(g))), 0) AS start
+            FROM (SELECT *, unnest(generate_series(1, len(whole))) AS i FROM cut)),
+        hits AS (
+            SELECT r, doc_id, source, rank, kind, val, start::BIGINT AS start, (start + length(span))::BIGINT AS stop FROM nth
+            WHERE CASE kind WHEN 'assign' THEN length(val) >= 12 WHEN 'login' THEN length(val) >= 8 WHEN 'opaque' THEN
+                  (regexp_matches(val, '^(ghp_|gho_|ghu_|ghs_|glpat-|sk-|xoxa-|xoxb-|xoxp-|AIza|eyJ|AKIA|ASIA)')
+                       OR regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[0-9].*[0-9]')) ELSE true END),
+        free AS (SELECT * FROM hits h WHERE rank < 3 OR NOT EXISTS (SELECT 1 FROM hits b WHERE b.r = h.r AND b.rank < 3 AND b.start < h.stop AND h.start < b.stop)),
+        spread AS (SELECT val, count(DISTINCT coalesce(source, chr(1))) AS owners FROM free GROUP BY val),
+        judged AS (
+            SELECT f.*, CASE WHEN owners >= 3 THEN 'example'
+                        WHEN 8 * list_sum(list_transform(map_values(list_histogram(string_split(val, ''))), lambda n: n * n)) <= length(val) ** 2 THEN 'live' ELSE 'unclear' END AS verdict,
+                   kind || ':' || start || ':' || stop AS name FROM free f JOIN spread USING (val))
+        SELECT d.doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+               sha256(coalesce(string_agg(name, ',' ORDER BY start, rank) FILTER (WHERE rank < 3), '')) AS base_sha256,
+               coalesce(string_agg(name, ',' ORDER BY start, rank), '') AS spans,
+               coalesce(string_agg(name, ',' ORDER BY start, rank) FILTER (WHERE verdict = 'live'), '') AS live_spans,
+               coalesce(string_agg(name, ',' ORDER BY start, rank) FILTER (WHERE verdict = 'example'), '') AS example_spans
+        FROM docs d LEFT JOIN (SELECT * FROM judged WHERE rank < 3 OR verdict = 'live') j USING (r) GROUP BY d.r, d.doc_id""",
 }
