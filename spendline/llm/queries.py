@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendline.llm import (chat, decontam, filter_audit, html_extract, line_dedup, multi_index, ngram_join, packing, pii, secret_scan, toxicity, warc)
+from spendline.llm import (chat, conversation_trie, decontam, filter_audit, html_extract, line_dedup, multi_index, ngram_join, packing, pii, secret_scan, toxicity, warc)
 from spendline.llm.sql import ORACLES
 from spendline.session import stage_path
 
@@ -86,6 +86,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.regexp_extract("refers_to", "^<urn:capture:response:([0-9-]*):", 1), F.lit("")).cast("long").alias("refers_to"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt on the first turns of its group's first conversation."""
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes from each language, in every order."""
     counts = filter_audit.outcomes(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_filter_audit": op12_filter_audit,
     "op13_secrets": op13_secrets,
 }

@@ -22,6 +22,42 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
         FROM lines l LEFT JOIN common c ON l.key = c.key GROUP BY doc_id""",
+    "op11_prefix_trie": r"""
+        WITH numbered AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(coalesce(role, '')) || md5(coalesce(text, '')))) AS nth
+            FROM conversations WHERE conv_id IS NOT NULL),
+        crc AS (    -- crc32 of the decimal number, bit by bit
+            WITH RECURSIVE steps AS (
+                SELECT DISTINCT conv_id, conv_id::VARCHAR AS s, 0 AS k, 4294967295::BIGINT AS c FROM numbered
+                UNION ALL
+                SELECT conv_id, s, k + 1, CASE WHEN k % 9 = 0 THEN xor(c, ascii(s[k // 9 + 1])::BIGINT) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END
+                FROM steps WHERE k < 9 * length(s))
+            SELECT conv_id, xor(c, 4294967295::BIGINT) % 4 AS h FROM steps WHERE k = 9 * length(s)),
+        rebuilt AS (
+            SELECT c.conv_id, n.role, n.text, n.nth, 0 AS own FROM crc c JOIN numbered n ON n.conv_id = c.conv_id - c.conv_id % 20 AND n.nth <= c.h
+            UNION ALL
+            SELECT c.conv_id, n.role, n.text, n.nth, 1 FROM crc c JOIN numbered n ON n.conv_id = c.conv_id AND n.nth > c.h),
+        prefixes AS (
+            SELECT conv_id, row_number() OVER w AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+                   string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w AS path
+            FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, nth)
+            UNION ALL
+            SELECT conv_id, 0, 0, '' FROM crc),
+        members AS (
+            SELECT conv_id, depth, words, path, count(*) OVER node AS n_convs, min(conv_id) OVER node AS owner, max(depth) OVER (PARTITION BY conv_id) AS length
+            FROM prefixes WINDOW node AS (PARTITION BY depth, path)),
+        nodes AS (
+            SELECT m.depth, m.path, m.owner, m.n_convs, any_value(u.owner) AS parent_conv_id,
+                   coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (WHERE m.depth = m.length), '') AS ends, bool_and(m.depth = m.length) AS leaf
+            FROM members m LEFT JOIN members u ON u.conv_id = m.conv_id AND u.depth = m.depth - 1 GROUP BY m.depth, m.path, m.owner, m.n_convs),
+        below AS (
+            SELECT a.depth, a.path, count(*) FILTER (WHERE b.depth = a.depth + 1) AS n_children, count(*) FILTER (WHERE n.leaf) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved_tokens
+            FROM members a JOIN members b ON b.conv_id = a.conv_id AND b.depth >= a.depth AND b.owner = b.conv_id JOIN nodes n ON n.depth = b.depth AND n.path = b.path
+            GROUP BY a.depth, a.path)
+        SELECT owner::BIGINT AS conv_id, depth::BIGINT AS depth, parent_conv_id::BIGINT AS parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+               n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+        FROM nodes JOIN below USING (depth, path)""",
     "op12_filter_audit": r"""
         WITH flags AS (
             SELECT part, CASE WHEN len(words) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
