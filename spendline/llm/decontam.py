@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendline.llm.words import hash_words, mix, rolling, split_words
+from spendline.llm.words import hash_words, mix, portions, rolling, split_words
 from spendline.session import stage_path
 
 FILTER_BITS = 23        # the filter of benchmark windows has 2^23 bits (1 MB), whatever the number of items
@@ -80,8 +80,7 @@ def _windows(frame: DataFrame, widths: list[int], least_literals: float, sent: B
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value if sent else None
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
+            for part in portions(batch):
                 rows: list[tuple] = []
                 for k, (h, own, slot, codes, bare) in enumerate(templates(part.column("text"))):
                     fitting = [w for w in widths if w <= len(h)] or ([len(h)] if 0 < len(h) < LEAST_TOKENS else [])

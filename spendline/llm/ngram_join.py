@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendline.llm.components import components
-from spendline.llm.words import mix, shingles
+from spendline.llm.words import mix, portions, shingles
 from spendline.session import stage_path
 
 HOT_BLOCK, HOT_MOST = 4_000_000, 1_000_000     # shingles that a task counts together; shingles that are ranked by frequency (16 MB)
@@ -100,8 +100,8 @@ def hot_shingles(docs: DataFrame, width: int, path: str) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                sets = shingles(batch.column("text").slice(at, 1000), width)
+            for part in portions(batch):
+                sets = shingles(part.column("text"), width)
                 held += sets
                 size += sum(map(len, sets))
                 if size >= HOT_BLOCK:
@@ -140,8 +140,7 @@ def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, rank = ranks.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in portions(batch):
                 yield described(part, shingles(part.column("text"), width), values, rank)
 
     def described(part: pa.RecordBatch, sets: list[np.ndarray], values: np.ndarray, rank: np.ndarray) -> pa.RecordBatch:
@@ -226,8 +225,7 @@ def linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, hub_set, held, held_sets = None, None, [], []
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in portions(batch):
                 sets = shingles(part.column("text"), width)
                 for a, p, member, key, s in zip(part.column("a").to_pylist(), part.column("part").to_pylist(), part.column("member").to_pylist(),
                                                 part.column("id").to_pylist(), sets):

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendline.llm.tokens import encoder
+from spendline.llm.words import portions
 
 POOL = 2048         # remainders that a task weighs against each other at a time
-BLOCK = 2000        # documents whose words are encoded together
+WAITING = 1_000_000 # ids of placed pieces that a task holds before it hands them on
 LEAST_CUT = 8       # a gap below this is padded rather than filled with a cut-off piece
 
 
@@ -31,6 +32,7 @@ class Packer:
         self.sequence = first_sequence
         self.waiting: list[tuple] = []      # (document, ids, start, end, first loss-bearing id)
         self.out: list[tuple] = []          # (document, ids, start, length, sequence, offset)
+        self.placed = 0                     # ids in `out`
 
     def add(self, document: tuple, ids: np.ndarray, loss_from: int) -> None:
         start = 0
@@ -54,6 +56,7 @@ class Packer:
 
     def _emit(self, document: tuple, ids: np.ndarray, start: int, length: int, offset: int) -> None:
         self.out.append((document, ids, start, length, self.sequence, offset))
+        self.placed += length
 
     def _pack(self, final: bool) -> None:
         items, self.waiting = self.waiting, []
@@ -142,8 +145,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         kind = None
         for batch in batches:
             kind = batch.schema.field("id").type
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
+            for part in portions(batch):
                 flat, sizes = codec.encode(part.column("text"))
                 stop = np.cumsum(sizes)
                 for key, size, end, loss_from in zip(part.column("id").to_pylist(), sizes, stop, part.column("loss_from").to_pylist(), strict=True):
@@ -151,14 +153,14 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     ids[:size] = flat[end - size:end]
                     ids[size] = end_id
                     packer.add((key, size + 1, max(0, loss_from)), ids, max(0, loss_from))
-                if len(packer.out) >= 5000:
+                if packer.placed >= WAITING or len(packer.out) >= 5000:
                     yield rows(packer, kind)
         packer.finish()
         if packer.out:
             yield rows(packer, kind)
 
     def rows(packer: Packer, kind: pa.DataType) -> pa.RecordBatch:
-        out, packer.out = packer.out, []
+        out, packer.out, packer.placed = packer.out, [], 0
         columns = {
             "id": pa.array([d[0] for d, *_ in out], kind),
             "start": pa.array([s for _, _, s, *_ in out], pa.int64()),
@@ -170,9 +172,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "loss_tokens": pa.array([Packer._loss(s, s + n, d[2]) for d, _, s, n, *_ in out], pa.int64()),
         }
         if with_ids:
-            columns["ids"] = pa.array([ids[s:s + n].astype(np.int64) for _, ids, s, n, *_ in out], pa.list_(pa.int64()))
+            columns["ids"] = pa.array([ids[s:s + n].astype(np.int32) for _, ids, s, n, *_ in out], pa.list_(pa.int32()))
         return pa.RecordBatch.from_pydict(columns)
 
     schema = (f"id {id_type.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
-              + (", ids array<long>" if with_ids else ""))
+              + (", ids array<int>" if with_ids else ""))
     return chosen.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -14,20 +14,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendline.llm.ngram_join import linked, min_hashes, parities, possible, set_hashes
-from spendline.llm.words import shingles
+from spendline.llm.words import portions, shingles
 from spendline.session import stage_path
 
-CANDIDATES = 200_000    # terms of toxic documents that are counted in clean ones (those in most toxic documents)
 LEAST_SHARE = 0.01      # share of the toxic documents (three at least) in which a term must stand: less may be one text and its edited copies
-TERMS = 3_000           # terms of the lexicon at most
+KNOWN_SHARE = 1 / 50_000    # share of the clean documents from which on a word near a term is a word of its own, if toxic documents do not have it more often
 SAMPLE = 20_000         # labelled documents from which the weights of the contexts are fitted
 LABELS_SENT = 2_000_000  # as many labels at most are broadcast (48 MB); beyond, Spark joins by shuffle
 COPY_WIDTH, COPY_PERCENT = 5, 75    # documents of one label are near copies from this Jaccard similarity of their sets of word shingles on
 STEMS = range(3, 8)     # lengths of word starts that can be terms
-CACHE = 500_000         # matched words that a worker remembers
+CACHE = 100_000         # matched words that a task remembers
 
 _WORD = re.compile(r"[^\W\d_]+")
-_QUOTES = re.compile("\"[^\"\\n]{0,400}\"|\u201c[^\u201d\\n]{0,400}\u201d|\u201e[^\u201c\\n]{0,400}\u201c|\u00ab[^\u00bb\\n]{0,400}\u00bb")
+#: Quotations within a line; the opening sign cannot stand inside, so unclosed ones cost no second look.
+_QUOTES = re.compile("\"[^\"\\n]*\"|\u201c[^\u201c\u201d\\n]*\u201d|\u201e[^\u201e\u201c\\n]*\u201c|\u00ab[^\u00ab\u00bb\\n]*\u00bb")
+#: Digits and signs that stand for letters inside of a word. Fixed values.
+LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
+_ODD = re.compile(r"[^\W\d_][013457@$!]|[013457@$!][^\W\d_]")
+_ODD_WORD = re.compile(r"[^\W_@$!]*(?:[@$!]+[^\W_@$!]+)+|[^\W_@$!]+")
 #: Words that report what others said; within the window before a term they mark quotation.
 REPORTING = set("said says say quote quoted quotes quoting called calls wrote writes word words term terms slur meaning means defined definition "
                 "sagte nannte wort dit appelle mot dijo llama palabra".split())
@@ -116,6 +120,16 @@ class Lexicon:
         term = self._walk(self.trie, LevenshteinAutomaton(word, 2), None)
         return (term, self.words[term], True) if term else None
 
+    def match_odd(self, word: str) -> tuple[str, float, bool] | None:
+        """The term that a word of letters and look-alikes stands for, read letter by letter (a one may be an l, too)."""
+        if word.isalpha() or not any(c.isalpha() for c in word):
+            return None
+        folded = "".join(LOOKALIKES.get(c, c) for c in word)
+        for reading in (folded, "".join("l" if c == "1" else LOOKALIKES.get(c, c) for c in word)):
+            if reading.isalpha() and (hit := self.match(reading)) and not hit[2]:
+                return hit[0], hit[1], True
+        return None
+
     def _walk(self, node: dict, automaton: LevenshteinAutomaton, state: tuple[int, ...] | None) -> str | None:
         """Trie and automaton side by side; of all accepted terms the strongest, then the first in the alphabet."""
         state = automaton.start() if state is None else state
@@ -136,10 +150,14 @@ class Lexicon:
         lowered = text.lower()
         distinct = set(_WORD.findall(lowered))
         hits = {w: m for w in distinct if (m := self.match(w))}
-        if not hits:
+        odd = {w: m for w in set(_ODD_WORD.findall(lowered)) if (m := self.match_odd(w))} if _ODD.search(lowered) else {}
+        if not hits and not odd:
             return 0.0, 0.0, 0.0
         quoted = [m.span() for m in _QUOTES.finditer(lowered)]
         words = list(_WORD.finditer(lowered))
+        if odd:
+            words = sorted([*words, *(m for m in _ODD_WORD.finditer(lowered) if m[0] in odd)], key=lambda m: m.start())
+            hits |= odd
         strengths: dict[str, tuple[float, int]] = {}     # term -> strength and rank: 0 quoted, 1 misspelled, 2 plain
         for k, found in enumerate(words):
             hit = hits.get(found[0])
@@ -215,9 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     kind = joined.schema["id"].dataType.simpleString()
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole)):
             sets = shingles(batch.column("text"), COPY_WIDTH)
-            s1, s2 = zip(*map(set_hashes, sets)) if sets else ((), ())
+            s1, s2 = zip(*map(set_hashes, sets))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
                  pa.array([min_hashes(s) for s in sets], pa.list_(pa.int64())), pa.array([parities(s) for s in sets], pa.binary())],
@@ -243,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     least = max(3, math.ceil(LEAST_SHARE * toxic))
     found = (train.where("toxic = 1").select("text").mapInArrow(lambda b: count(b, None), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(CANDIDATES).toArrow())
+             .where(F.col("n") >= least).toArrow())     # a hundred times the terms of a document at most
     in_toxic = dict(zip(found.column("term").to_pylist(), found.column("n").to_pylist()))
     sent = spark.sparkContext.broadcast(set(in_toxic))
     counted = (train.where("toxic = 0").select("text").mapInArrow(lambda b: count(b, sent.value), "term string, n long")
@@ -261,8 +279,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
     if terms:
-        words = train.where("toxic = 0").select("text").mapInArrow(near, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
-        model.known = set(words.limit(CANDIDATES).toArrow().column("word").to_pylist())
+        words = [train.where(F.col("toxic") == k).select("text").mapInArrow(near, "word string, n long").groupBy("word").agg(F.sum("n").alias(name)) for k, name in enumerate(("c", "t"))]
+        met = words[0].where(F.col("c") >= KNOWN_SHARE * clean).join(words[1], "word", "left").where(F.col("c") * toxic >= F.coalesce("t", F.lit(0)) * clean)
+        model.known = set(met.select("word").toArrow().column("word").to_pylist())
         sample = train.orderBy(F.xxhash64("id"), "id").select("key").limit(SAMPLE)
 
         def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,8 +346,6 @@ def choose_terms(in_toxic: dict[str, int], in_clean: dict[str, int], toxic: int,
     kept: dict[str, float] = {}
     for term in sorted(scored, key=lambda x: (-scored[x][0], -len(x.rstrip("*")), x)):
         stem = term.rstrip("*")
-        if len(kept) >= TERMS:
-            break
         if any(stem[:n] + "*" in kept for n in range(2, len(stem) + 1)):
             continue
         if term.endswith("*") and any(k.rstrip("*").startswith(stem) for k in kept):
@@ -343,7 +360,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     Null and empty texts get the score of a text without terms. Every row and column stays, and whole texts are read, one at a time.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(model)
+        lexicon = Lexicon(model.terms, model.known)     # and its cache live as long as the task
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             scores = [model.score(lexicon.features(t.as_py() or "")) for t in batch.column(at)]
@@ -353,14 +370,3 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("score", "predicted")]
     return docs.mapInArrow(run, ", ".join([*fields, "score double, predicted int"]))
-
-
-_LEXICONS: dict[int, Lexicon] = {}
-
-
-def _lexicon(model: ToxicityModel) -> Lexicon:
-    key = hash((frozenset(model.terms.items()), frozenset(model.known)))
-    if key not in _LEXICONS:
-        _LEXICONS.clear()
-        _LEXICONS[key] = Lexicon(model.terms, model.known)
-    return _LEXICONS[key]

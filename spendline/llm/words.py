@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
+PORTION = 1 << 20       # bytes of text that are worked on together; a longer text is worked on alone
+
+
+def portions(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch in order, with at most `PORTION` bytes of text or one row each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    reached, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        limit = (reached[start - 1] if start else 0) + PORTION
+        stop = max(start + 1, int(np.searchsorted(reached, limit, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct words, the number of each word in its place, and the number of words of each text (null: none).

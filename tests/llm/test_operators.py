@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendline.llm import chat, components, decontam, html_extract, line_dedup, multi_index, ngram_join, packing, pii, tokens, toxicity, warc
+from spendline.llm.words import PORTION, portions
 from spendline.session import stage_path
 
 DOC = "doc_id long, text string, lang string, score double, id long, version long"      # clashing names on purpose
@@ -37,7 +39,6 @@ ODD = ["", " ", "  a", "a  b", "a \n b", "\n", " \n\n x", "it's he'll", "a\tb  c
 def test_ids_equal_those_of_tokenizers():
     public = pytest.importorskip("public_tokenizers")
     reference = pytest.importorskip("tokenizers").Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     texts = ODD + [words(50) for _ in range(20)]
     flat, sizes = tokens.encoder().encode(pa.array(texts))
     want = [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
@@ -208,7 +209,9 @@ def test_components_of_chains_stars_and_loops(spark):
 def test_templates_find_changed_slots_and_refuse_mixed_ones(spark):
     item = "If Anna buys 12 apples and gives 5 apples to Peter then how many apples does Anna have after 12 days of the long journey home"
     other = item.replace("12", "30").replace("5", "7").replace("Anna", "Maria").replace("Peter", "Luis")
-    mixed = item.replace("buys 12", "buys 30").replace("after 12", "after 44")
+    # no window of eight words is unchanged, and twelve stands for two numbers
+    mixed = "If Maria buys 30 apples and gives 7 apples to Luis then how many apples does Maria have after 44 days of the long journey home"
+    item, other, mixed = (x.replace(" of the long journey home", " or so") for x in (item, other, mixed))
     noise = "some quite ordinary words before . "
     rows = [(1, noise + item + " . and after"), (2, noise + other), (3, noise + mixed), (4, words(60)), (5, None), (6, ""), (7, item.upper()), (None, item), (8, "tiny item text"), (1, noise + item + " . and after")]
     benchmark = spark.createDataFrame([(10, item), (11, None), (12, "ab"), (13, "tiny item text"), (14, "")], "item_id long, text string")
@@ -216,6 +219,7 @@ def test_templates_find_changed_slots_and_refuse_mixed_ones(spark):
     got = {(r.id, r.item_id): r for r in leaks.collect()}
     assert set(got) == {(1, 10), (2, 10), (7, 10), (None, 10), (8, 13)}
     assert got[1, 10].verbatim and not got[2, 10].verbatim and got[2, 10].n_slots >= 3
+    assert not any(r.n_windows > 0 for k, r in got.items() if k[0] == 3)
     kept = [r.doc_id for r in decontam.decontaminate(documents(spark, rows), leaks).collect()]
     assert sorted(kept) == [3, 4, 5, 6]
     assert decontam.contaminated(documents(spark, []), benchmark).count() == 0
@@ -327,6 +331,25 @@ def test_lexicon_matches_like_brute_force():
     assert lexicon.features("") == (0.0, 0.0, 0.0)
 
 
+def test_look_alikes_and_long_quotations():
+    lexicon = toxicity.Lexicon({"idiot": 1.0, "scum": 0.8, "belly": 0.5, "vequ*": 0.7}, set())
+    assert lexicon.match_odd("1d10t") == ("idiot", 1.0, True) and lexicon.match_odd("be11y") == ("belly", 0.5, True) and lexicon.match_odd("v3qual$") == ("vequ*", 0.7, True)
+    assert all(lexicon.match_odd(w) is None for w in ("idiot", "1010", "x3y", "", "$$$", "id10tt5"))
+    assert lexicon.features("you 1d10t!")[1] > 0 and lexicon.features('he said "you 1d10t"')[1] == 0
+    long = "lorem " * 2000
+    assert lexicon.features(f'they wrote: "{long} scum {long}" yesterday')[0] == 0 < lexicon.features(f'"{long}" and you scum "{long}"')[0]
+    start = time.perf_counter()
+    lexicon.features("scum " + "\u201e\u00ab\u201c x " * 200_000)
+    assert time.perf_counter() - start < 20
+
+
+def test_portions_keep_every_row_in_order():
+    texts = [None, "", "x" * (3 << 20), *["y" * 5000] * 900, "z"]
+    parts = list(portions(pa.RecordBatch.from_pydict({"k": list(range(len(texts))), "text": pa.array(texts)})))
+    assert [k for p in parts for k in p.column("k").to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column("text").to_pylist()) <= PORTION for p in parts) and len(parts) < 12
+
+
 def test_toxicity_learns_from_labels(spark):
     rows = [(i, words(30) + (" grumpf " + words(5) + " blorgen" if i % 4 == 0 else "")) for i in range(240)] + [(900, None), (901, ""), (None, words(5)), (902, words(200) + " grumpff, blorgen")]
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(240)] + [(3, 0, None), (None, 1, 1), (5000, 0, 1)], "doc_id long, quality int, toxic int")
