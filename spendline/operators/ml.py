@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -13,9 +14,11 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringInd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from spendline.functions.exprs import ratio
-from spendline.operators.windows import cumulative_by_value, exact_quantiles
+from spendline.operators.model_store import ModelStore, fingerprint
+from spendline.operators.windows import cumulative_by_value, exact_quantiles, ladder_percentile
 from spendline.session import reliable
 
 NUMERIC = ["AnnualizedEligibleSpendEUR", "ContractCompliancePct", "MaverickSpendPct", "SupplierOTDPct", "LateFullyReceivedPct",
@@ -88,42 +91,84 @@ def score_risk(model: PipelineModel, df: DataFrame, name: str = "Score") -> Data
 @dataclass
 class RiskModel:
     name: str
-    model: PipelineModel
     threshold: float
     numeric: list[str]
     candidates: DataFrame       # one row per candidate: out-of-fold PR-AUC
-    out_of_fold: DataFrame      # SupplierID, PerformanceYear, label, Fold, Score of the winner
+    out_of_fold: DataFrame      # SupplierID, PerformanceYear, label, ModelName, Fold, Score of the winner in the development years
+    test: DataFrame             # the untouched last year, scored once by the model of the development years
+    model: PipelineModel        # the winner, fitted again on all years
+    key: str
 
 
-def fit_risk(train: DataFrame, specs: dict | None = None, folds: int = 5) -> RiskModel:
-    """Grouped cross-validation of each candidate, winner by out-of-fold PR-AUC, refit on all rows.
+SCORE_COLUMNS = ["SupplierID", "PerformanceYear", LABEL, "Score"]
 
-    The loops run over candidates and folds, a fixed handful; every fit and every scoring pass is
-    a Spark job over the whole frame.
+
+def fold_scores(data: DataFrame, specs: dict, numeric: Sequence[str], store: ModelStore, key: str, folds: int, parallelism: int = 4) -> DataFrame:
+    """Out-of-fold scores of all candidates as one table, partitioned by `ModelName` and `Fold`.
+
+    Each fold of each candidate is fitted, scores its own rows into its own partition and is forgotten: no plan holds two models. A few
+    folds are fitted side by side, as their jobs are short. Folds that are already written (of a run that was interrupted) are kept.
+    """
+    base = store.path("tables", "risk_fold_scores", key)
+
+    def run(part: tuple[str, int]) -> None:
+        name, fold = part
+        if store.has("risk_fold", f"{key}-{name}-{fold}"):
+            return
+        fitted = risk_pipeline(specs[name], numeric, CATEGORICAL).fit(data.where(F.col(FOLD) != fold))
+        scored = score_risk(fitted, data.where(F.col(FOLD) == fold)).select(*SCORE_COLUMNS)
+        scored.write.mode("overwrite").parquet(f"{base}/ModelName={name}/{FOLD}={fold}")
+        store.register("risk_fold", f"{key}-{name}-{fold}", "tables")
+
+    parts = [(name, fold) for name in specs for fold in range(folds)]
+    with ThreadPool(min(parallelism, len(parts))) as pool:
+        pool.map(inheritable_thread_target(store.spark)(run), parts)
+    return stored_fold_scores(store, key)
+
+
+def stored_fold_scores(store: ModelStore, key: str) -> DataFrame:
+    return store.spark.read.parquet(store.path("tables", "risk_fold_scores", key))
+
+
+def fit_risk(train: DataFrame, store: ModelStore, specs: dict | None = None, folds: int = 5, year: str = "PerformanceYear") -> RiskModel:
+    """Model selection on the development years, one evaluation on the last year, refit on all.
+
+    The last labelled year is untouched until the end. On the years before it: grouped cross-validation of each candidate, the winner by
+    out-of-fold PR-AUC, its F1-optimal threshold from the same out-of-fold scores. The winner fitted on the development years scores
+    the last year once; then it is fitted on all years for use. Scores, both models and the settings lie in `store` under
+    a fingerprint of rows and settings: a second call with the same rows reads them. Candidates and folds are a fixed handful;
+    every fit and every scoring pass is a Spark job over the whole frame.
     """
     specs = specs or estimators()
-    data = reliable(training_frame(train, folds))
-    numeric = usable_numbers(data)
-    scored, ranking = {}, []
-    for name, estimator in specs.items():
-        parts = []
-        for fold in range(folds):
-            fitted = risk_pipeline(estimator, numeric, CATEGORICAL).fit(data.where(F.col(FOLD) != fold))
-            parts.append(score_risk(fitted, data.where(F.col(FOLD) == fold))
-                         .select("SupplierID", "PerformanceYear", LABEL, FOLD, "Score"))
-        oof = parts[0]
-        for part in parts[1:]:
-            oof = oof.unionByName(part)
-        scored[name] = reliable(oof)
-        ranking.append(score_curve(scored[name], "Score", LABEL).agg(F.max("AveragePrecision").alias("PrAuc"))
-                       .withColumn("ModelName", F.lit(name)))
-    table = ranking[0]
-    for r in ranking[1:]:
-        table = table.unionByName(r)
-    best = table.orderBy(F.desc_nulls_last("PrAuc"), "ModelName").first()["ModelName"]
-    threshold = best_threshold(scored[best], "Score", LABEL)
-    model = risk_pipeline(specs[best], numeric, CATEGORICAL).fit(data)
-    return RiskModel(best, model, threshold, numeric, table, scored[best])
+    key = fingerprint(train, folds, *[f"{name}: {sorted((p.name, v) for p, v in e.extractParamMap().items())}" for name, e in specs.items()])
+    first, last = train.agg(F.min(year), F.max(year)).first()
+    if first == last:
+        raise ValueError("temporal evaluation needs at least two labelled years")
+    folded = store.table("risk_development", key, lambda: _few_parts(training_frame(train.where(F.col(year) < last), folds), train))
+    numeric = usable_numbers(folded)
+    scores = fold_scores(folded, specs, numeric, store, key, folds)
+
+    def ranked() -> DataFrame:
+        out = None
+        for name in specs:      # a handful of one-row aggregates
+            row = score_curve(scores.where(F.col("ModelName") == name), "Score", LABEL).agg(F.max("AveragePrecision").alias("PrAuc")).withColumn("ModelName", F.lit(name))
+            out = row if out is None else out.unionByName(row)
+        return out.coalesce(1)
+
+    candidates = store.table("risk_candidates", key, ranked)
+    best = candidates.orderBy(F.desc_nulls_last("PrAuc"), "ModelName").first()["ModelName"]
+    out_of_fold = scores.where(F.col("ModelName") == best)
+    threshold = store.table("risk_threshold", key, lambda: store.spark.range(1).select(F.lit(best_threshold(out_of_fold, "Score", LABEL)).alias("Threshold"))).first()["Threshold"]
+    pipeline = lambda rows: risk_pipeline(specs[best], numeric, CATEGORICAL).fit(rows)      # noqa: E731
+    development = store.model("risk_development", f"{key}-{best}", lambda: pipeline(folded))
+    test = store.table("risk_test_scores", key, lambda: score_risk(development, train.where(F.col(year) == last)).select(*SCORE_COLUMNS))
+    final = store.model("risk_final", f"{key}-{best}", lambda: pipeline(store.table("risk_all_years", key, lambda: _few_parts(training_frame(train, folds), train))))
+    return RiskModel(best, threshold, numeric, candidates, out_of_fold, test, final, key)
+
+
+def _few_parts(df: DataFrame, rows: DataFrame, rows_a_part: int = 50_000) -> DataFrame:
+    """As many partitions as the rows are worth: the fits run thousands of short jobs over them."""
+    return df.repartition(max(1, -(-rows.count() // rows_a_part)))
 
 
 # ---------------------------------------------------------------------- metrics
@@ -218,6 +263,7 @@ def importance(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------- isolation forest
 
+MOST_NODES = 4_000_000       # of a forest that travels to the tasks: 160 MB
 NODE = "Tree int, Node int, Feature int, Split double, Left int, Right int, PathLength double"
 
 
@@ -293,9 +339,8 @@ def iforest_fit(df: DataFrame, columns: Sequence[str] = PRICING_FEATURES, trees:
     unit = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 53)) / float(1 << 53)
     pool = df.select(id_, *[F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in columns])
     share = min(1.0, (2.0 * size + 100.0) / max(1, rows))
-    looks = F.lit(0)
-    for k, below in enumerate(_binomial_steps(trees, share), 1):
-        looks = F.when(F.col("__u") >= below, k).otherwise(looks)
+    # the steps ascend, so the number of steps passed is the number of trees; an array of literals keeps the generated code small
+    looks = F.size(F.filter(F.array(*[F.lit(float(x)) for x in _binomial_steps(trees, share)]), lambda below: F.col("__u") >= below))
     order = F.slice(F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(F.lit(seed + 1), F.col(id_), t), t.alias("t")))), 1, F.col("__k"))
     drawn = (pool.withColumn("__u", unit(F.lit(seed), F.col(id_))).withColumn("__k", looks).where(F.col("__k") > 0)
              .withColumn("Tree", F.explode(F.transform(order, lambda x: x["t"]))).drop("__u", "__k")
@@ -315,6 +360,9 @@ def iforest_score(forest: IsolationForest, df: DataFrame, name: str = "RawAnomal
     travels to the tasks as a broadcast variable; rows are scored in Arrow batches where they are.
     """
     spark = df.sparkSession
+    size = forest.nodes.count()
+    if size > MOST_NODES:
+        raise ValueError(f"a forest of {size} nodes is too large to be sent to the tasks")
     flat = forest.nodes.orderBy("Tree", "Node").toPandas()
     trees = []
     for _, t in flat.groupby("Tree"):
@@ -353,6 +401,79 @@ def raw_threshold(scores: DataFrame, column: str = "RawAnomalyScore", review_rat
     return exact_quantiles(scores, {"RawThreshold": (column, 1.0 - review_rate)})
 
 
+STATE = f"Kind string, Name string, Value double, Weight long, {NODE}"
+
+
+def forest_state(forest: IsolationForest, reference: DataFrame, review_rate: float = 0.05, column: str = "RawAnomalyScore") -> DataFrame:
+    """All that scoring needs, as one table: nodes, medians in the order of the columns, the ladder of reference scores with their counts, the
+    threshold above which the review share of the reference lies, and the settings. `Kind` is NODE, MEDIAN, LADDER or SETTING."""
+    nodes = forest.nodes
+    spark = nodes.sparkSession
+    filled = lambda df: df.select(*[F.col(f.split()[0]).cast(f.split()[1]) if f.split()[0] in df.columns else F.lit(None).cast(f.split()[1]).alias(f.split()[0])      # noqa: E731
+                                    for f in STATE.split(", ")])
+    medians = spark.createDataFrame([("MEDIAN", c, float(forest.medians[c]), k) for k, c in enumerate(forest.columns)], "Kind string, Name string, Value double, Weight long")
+    ladder = reference.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("Value")).agg(F.count("*").alias("Weight")).withColumn("Kind", F.lit("LADDER"))
+    cut = raw_threshold(reference, column, review_rate).select(F.lit("SETTING").alias("Kind"), F.lit("THRESHOLD").alias("Name"), F.col("RawThreshold").alias("Value"))
+    settings = spark.createDataFrame([("SETTING", "SAMPLE", float(forest.sample)), ("SETTING", "REVIEW_RATE", float(review_rate))], "Kind string, Name string, Value double")
+    parts = [nodes.withColumn("Kind", F.lit("NODE")), medians, ladder, cut, settings]
+    out = filled(parts[0])
+    for part in parts[1:]:
+        out = out.unionByName(filled(part))
+    return out
+
+
+def forest_of(state: DataFrame) -> IsolationForest:
+    """The forest in a state table."""
+    medians = sorted((r["Weight"], r["Name"], r["Value"]) for r in state.where("Kind = 'MEDIAN'").select("Weight", "Name", "Value").collect())    # one row a column
+    return IsolationForest([c for _, c, _ in medians], {c: v for _, c, v in medians}, int(forest_setting(state, "SAMPLE")), state.where("Kind = 'NODE'").select(*[f.split()[0] for f in NODE.split(", ")]))
+
+
+def forest_setting(state: DataFrame, name: str) -> float:
+    return state.where((F.col("Kind") == "SETTING") & (F.col("Name") == name)).select("Value").first()[0]
+
+
+def forest_apply(state: DataFrame, df: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """`carry` columns of `df` with `RawAnomalyScore`, `PricingAnomalyScore` (percentile in the stored reference) and `PricingAnomalyFlag` (at or above the stored threshold).
+
+    Any split can be scored by any state; nothing is learned here.
+    """
+    scored = reliable(iforest_score(forest_of(state), df, carry=carry))     # the ladder and the output both read it
+    ladder = state.where("Kind = 'LADDER'").select(F.col("Value").alias("RawAnomalyScore"), "Weight")
+    ranked = ladder_percentile(ladder, scored, "RawAnomalyScore", "PricingAnomalyScore")
+    return ranked.withColumn("PricingAnomalyFlag", (F.col("RawAnomalyScore") >= F.lit(forest_setting(state, "THRESHOLD"))).cast("int"))
+
+
+def fit_forest(train: DataFrame, store: ModelStore, name: str, review_rate: float = 0.05, id_: str = "POItemID", **settings) -> DataFrame:
+    """The state table of a forest fitted on `train`, with the scores of `train` as its reference; read from the store if it was fitted before."""
+    key = fingerprint(train.select(id_, *PRICING_FEATURES), review_rate, sorted(settings.items()))
+
+    def build() -> DataFrame:
+        forest = iforest_fit(train, id_=id_, **settings)
+        return forest_state(forest, reliable(iforest_score(forest, train, carry=[id_])), review_rate)
+
+    return store.table(name, key, build)
+
+
+def recounted(reference: DataFrame, scored: DataFrame, cut: float, review_rate: float = 0.05, steps: int = 40) -> DataFrame:
+    """One row of counts taken anew, without the ladder: `ReferenceRows`, `ScoredRows`, `PercentileViolations`, `FlagViolations`, `ReviewShareViolations`.
+
+    At each of `steps` raw values the share of reference rows at or below it is counted directly. A scored row below the value may not have a larger
+    percentile than that share, one above it no smaller one.
+    """
+    raw, share = F.col("RawAnomalyScore"), "PricingAnomalyScore"
+    grid = [-0.5 + k / steps for k in range(1, steps + 1)]
+    counts = reference.agg(F.count(raw).alias("n"), F.count_if(raw >= cut).alias("flagged"), *[F.count_if(raw <= t).alias(f"g{k}") for k, t in enumerate(grid)]).first()
+    n = max(1, counts["n"])
+    wrong = F.lit(False)
+    for k, t in enumerate(grid):
+        at = counts[f"g{k}"] * 100.0 / n
+        wrong = wrong | ((raw <= t) & (F.col(share) > at + 1e-9)) | ((raw > t) & (F.col(share) < at - 1e-9))
+    least = counts["n"] - int(np.ceil((1.0 - review_rate) * (counts["n"] - 1)))      # rows at or above an interpolated quantile
+    return scored.agg(F.lit(counts["n"]).cast("long").alias("ReferenceRows"), F.count("*").alias("ScoredRows"), F.count_if(wrong | F.col(share).isNull()).alias("PercentileViolations"),
+                      F.count_if((F.col("PricingAnomalyFlag") == 1) != (raw >= cut)).alias("FlagViolations"),
+                      F.lit(int(counts["flagged"] < least)).cast("long").alias("ReviewShareViolations"))
+
+
 def proxy_eval(df: DataFrame, flag: str, proxy: str, exception: str | None = None) -> DataFrame:
     """How much more often flagged rows meet a transparent proxy than rows do overall."""
     hit, good = F.col(flag) == 1, F.col(proxy) == 1

@@ -73,6 +73,36 @@ def fk_rule(child: DataFrame, table: str, child_keys: Sequence[str], parent: Dat
     return _shape(counts, table, [("Referential", f"{', '.join(child_keys)} in {parent_table}", severity)])
 
 
+@dataclass(frozen=True)
+class Reference:
+    """An edge from columns of a child to columns of a parent; a NULL key is a violation unless the edge is nullable."""
+
+    columns: tuple[str, ...]
+    parent: DataFrame
+    parent_columns: tuple[str, ...]
+    parent_table: str
+    nullable: bool = False
+    severity: str = ERROR
+
+
+def reference_rules(child: DataFrame, table: str, edges: Sequence[Reference]) -> DataFrame:
+    """All references of a child in one shuffle.
+
+    The child is read once and unpivoted to (edge, key) counts, the parents' keys are added as rows without a count, and one aggregate by
+    (edge, key), combined before its shuffle, tells which keys have no parent. A key that holds a third of the child is one row per task.
+    """
+    text = lambda c: F.col(c).cast("string")
+    keys = F.array(*[F.struct(F.lit(k).alias("edge"), F.array(*map(text, e.columns)).alias("key")) for k, e in enumerate(edges)])
+    rows = child.select(F.inline(keys)).withColumns({"n": F.lit(1).cast("long"), "known": F.lit(False)})
+    for k, e in enumerate(edges):
+        own = e.parent.select(F.lit(k).alias("edge"), F.array(*map(text, e.parent_columns)).alias("key")).where(~F.exists("key", F.isnull))
+        rows = rows.unionByName(own.withColumns({"n": F.lit(0).cast("long"), "known": F.lit(True)}))
+    lone = rows.groupBy("edge", "key").agg(F.sum("n").alias("n"), F.max("known").alias("known")).where(~F.col("known"))
+    null = F.exists("key", F.isnull)
+    counts = lone.agg(*[F.sum(F.when((F.col("edge") == k) & (~null if e.nullable else F.lit(True)), F.col("n"))).alias(f"c{k}") for k, e in enumerate(edges)])
+    return _shape(counts, table, [("Referential", f"{', '.join(e.columns)} in {e.parent_table}", e.severity) for e in edges])
+
+
 def count_rule(bad: DataFrame, table: str, name: str, category: str = "Business", severity: str = ERROR) -> DataFrame:
     """Every row of `bad` is a violation."""
     return _shape(bad.agg(F.count("*").alias("c0")), table, [(category, name, severity)])

@@ -178,16 +178,21 @@ def global_percent_rank(df: DataFrame, column: str, name: str, scale: float = 10
     return ranked.withColumn(name, score).select(*df.columns, name)
 
 
-def reference_percentile(reference: DataFrame, target: DataFrame, column: str, name: str) -> DataFrame:
-    """Share (in %) of reference values at or below each target value.
+def ladder_percentile(ladder: DataFrame, target: DataFrame, column: str, name: str) -> DataFrame:
+    """Share (in %) of reference values at or below each target value, from a stored ladder: `column` and `Weight`, its number of reference rows.
 
     Reference and target values go through one ladder of distinct values in which only reference
     rows carry weight; the target picks its step by an equi join.
     """
-    ladder_input = (reference.select(F.col(column), F.lit(1).alias("__w"))
-                    .unionByName(target.select(F.col(column), F.lit(0).alias("__w"))).where(F.col(column).isNotNull()))
-    ladder = cumulative_by_value(ladder_input, column, F.col("__w")).select(column, F.col("Cumulative").alias("__cum"))
-    size = reference.agg(F.count(column)).scalar()
-    out = target.join(ladder, column, "left")
+    steps = (ladder.select(F.col(column), F.col("Weight").cast("long").alias("__w"))
+             .unionByName(target.select(F.col(column), F.lit(0).cast("long").alias("__w"))).where(F.col(column).isNotNull()))
+    summed = cumulative_by_value(steps, column, F.col("__w")).select(column, F.col("Cumulative").alias("__cum"))
+    size = ladder.where(F.col(column).isNotNull()).agg(F.sum("Weight")).scalar()
+    out = target.join(summed, column, "left")
     score = F.try_divide(F.col("__cum") * 100.0, size)
     return out.withColumn(name, F.least(F.lit(100.0), F.greatest(F.lit(0.0), score))).select(*target.columns, name)
+
+
+def reference_percentile(reference: DataFrame, target: DataFrame, column: str, name: str) -> DataFrame:
+    """Share (in %) of reference values at or below each target value; the reference rows are given as they are."""
+    return ladder_percentile(reference.select(F.col(column), F.lit(1).alias("Weight")), target, column, name)

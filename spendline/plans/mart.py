@@ -8,6 +8,7 @@ once per application below the shared checkpoint folder.
 from __future__ import annotations
 
 import hashlib
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from spendline.functions.exprs import clean_id, surrogate_key
 from spendline.operators import contract as contracts
 from spendline.operators import dims as dimensions
-from spendline.operators import facts, features, matching, savings, scorecard, spend
+from spendline.operators import facts, features, matching, ml, promotion, savings, scorecard, spend
 from spendline.operators.conform import conform, master_specs
+from spendline.operators.model_store import ModelStore
+from spendline.operators.quality import Rule, differ_rows
 from spendline.session import shared_dir
 from spendline.sources.tables import overwrite, scan_path
 from spendline.sources.tpch import TpchSource
@@ -34,6 +37,23 @@ ENTITY_SOURCE = {"Category": "silver_category", "Material": "silver_material", "
                  "BusinessUnit": "silver_business_unit", "Contract": "silver_contract"}
 
 
+@cache
+def products() -> dict[str, promotion.Product]:
+    """The three prediction products and what each promises. Rules hold columns, so they are made when a session is there."""
+    scores, saving = promotion.score_rules, F.col("PotentialAnnualSavingsEUR")
+    parts = F.col("AnnualizedPricingOpportunityEUR") + F.col("AnnualizedMaverickOpportunityEUR")
+    found = (
+        promotion.Product("ml_supplier_risk_prediction", ("SupplierID",), ("SupplierKey",), scores("SupplierRiskScore", "PredictedHighRiskFlag"),
+                          ("SupplierRiskScore", "PredictedHighRiskFlag")),
+        promotion.Product("ml_pricing_anomaly_prediction", ("POItemID",), ("PurchaseOrderFactKey", "CategoryKey", "MaterialKey"),
+                          scores("PricingAnomalyScore", "PricingAnomalyFlag"), ("PricingAnomalyScore", "PricingAnomalyFlag"), soft_keys=("SupplierKey",)),
+        promotion.Product("ml_savings_opportunity", ("SupplierID", "CategoryID"), ("CategoryKey",),
+                          (*scores("NegotiationPriorityScore", "ActionableOpportunityFlag"), Rule("savings not negative", saving < 0),
+                           Rule("components add up", differ_rows("PotentialAnnualSavingsEUR", parts, 0.02))),
+                          ("PotentialAnnualSavingsEUR",), ("SavingsOpportunityRank",), {"SupplierID": "SupplierID"}, ("SupplierKey",)))
+    return {p.name: p for p in found}
+
+
 def supplier_snapshots(current: DataFrame) -> tuple[DataFrame, DataFrame]:
     """An earlier and a later state of the supplier master, for the type-2 dimension.
 
@@ -55,6 +75,7 @@ class Mart:
         tag = hashlib.sha256(directory.encode()).hexdigest()[:12]
         self.root = f"{shared_dir(spark).rstrip('/')}/spendline-{spark.sparkContext.applicationId}-{tag}"
         self._tables: dict[str, DataFrame] = {}
+        self._risk: ml.RiskModel | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -182,6 +203,75 @@ class Mart:
                                 + F.coalesce(F.col("InvoiceExceptionPct"), F.lit(0.0)) * 0.5), 2)
         return f.select("SupplierID", score.alias("SupplierRiskScore"), (score >= 50).cast("int").alias("PredictedHighRiskFlag"))
 
+    # ------------------------------------------------------------------ fitted models and their products
+
+    @property
+    def models(self) -> ModelStore:
+        return ModelStore(self.spark, f"{self.root}/models")
+
+    @property
+    def gold(self) -> promotion.GoldStore:
+        return promotion.GoldStore(self.spark, f"{self.root}/promoted")
+
+    def risk_model(self) -> ml.RiskModel:
+        """Selected, tested and fitted once per input: later calls read the store."""
+        if self._risk is None:
+            self._risk = ml.fit_risk(self["risk_labelled"], self.models)
+        return self._risk
+
+    def forest(self, train_to: int) -> DataFrame:
+        """State of the isolation forest fitted on the usable prices up to a year."""
+        usable = self["price_features"].where("PricingModelEligibleFlag = 1")
+        return ml.fit_forest(usable.where(F.col("OrderYear") <= train_to), self.models, "price_forest")
+
+    def _forest_scores(self, train_to: int, year: int) -> DataFrame:
+        usable = self["price_features"].where((F.col("PricingModelEligibleFlag") == 1) & (F.col("OrderYear") == year))
+        carry = ["POItemID", "OrderYear", "RuleBasedExtremePriceFlag", "PriceComplianceExceptionFlag"]
+        return ml.forest_apply(self.forest(train_to), usable, carry)
+
+    def _forest_validation(self) -> DataFrame:
+        """The last complete year, scored by the forest of the years before it."""
+        return self._forest_scores(SCORING_YEAR - 2, SCORING_YEAR - 1)
+
+    def _forest_production(self) -> DataFrame:
+        return self._forest_scores(SCORING_YEAR - 1, SCORING_YEAR)
+
+    def _fitted_risk_scores(self) -> DataFrame:
+        fitted = self.risk_model()
+        latest = self["risk_features"].where((F.col("PerformanceYear") == SCORING_YEAR) & F.col("SupplierID").isNotNull())
+        return ml.score_risk(fitted.model, latest).select(
+            "SupplierID", F.round(F.col("Score") * 100, 4).alias("SupplierRiskScore"), (F.col("Score") >= fitted.threshold).cast("int").alias("PredictedHighRiskFlag"),
+            F.lit(fitted.name).alias("ModelName"), F.lit(fitted.key).alias("ModelVersion"))
+
+    def _fitted_pricing_scores(self) -> DataFrame:
+        scores = self["forest_production"].select(F.col("POItemID").alias("__id"), "PricingAnomalyScore", "PricingAnomalyFlag")
+        rows = self["price_features"].where((F.col("OrderYear") == SCORING_YEAR) & (F.col("PricingModelEligibleFlag") == 1))
+        return rows.join(scores, F.col("POItemID") == F.col("__id")).drop("__id")
+
+    def _fitted_prioritised(self) -> DataFrame:
+        from spendline.operators.opportunity import item_evidence, opportunities, prioritise
+        items = item_evidence(self["fact_purchase_order"], self["fitted_pricing_scores"], SCORING_YEAR, AS_OF)
+        return prioritise(opportunities(items, self["fitted_risk_scores"], AS_OF, features.ANNUALIZATION))
+
+    def product(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """(source rows, the same with gold keys as of the prediction date) of a fitted prediction product."""
+        from spendline.operators.opportunity import promote
+        product = products()[name]
+        source = self[{"ml_supplier_risk_prediction": "fitted_risk_scores", "ml_pricing_anomaly_prediction": "fitted_pricing_scores", "ml_savings_opportunity": "fitted_prioritised"}[name]]
+        if name == "ml_pricing_anomaly_prediction":
+            source = source.select("POItemID", "SupplierID", "CategoryID", "ContractID", "LineAmountEUR", "PricingAnomalyScore", "PricingAnomalyFlag")
+        po = self["fact_purchase_order"] if name == "ml_pricing_anomaly_prediction" else None
+        return source, promote(source, self.dims(), AS_OF, list(product.grain), "", po)
+
+    def promote(self, name: str) -> str:
+        """Promote a product; its batch id. Savings refer to the risk product, which goes first."""
+        source, rows = self.product(name)
+        parents = {}
+        if "SupplierID" in products()[name].references:
+            self.promote("ml_supplier_risk_prediction")
+            parents["SupplierID"] = self.gold.read("ml_supplier_risk_prediction").where(F.col("PredictionDate") == F.to_date(F.lit(AS_OF)))
+        return self.gold.promote(rows, source, products()[name], parents)
+
     def _item_evidence(self) -> DataFrame:
         from spendline.operators.opportunity import item_evidence
         return item_evidence(self["fact_purchase_order"], self["pricing_scores"], SCORING_YEAR, AS_OF)
