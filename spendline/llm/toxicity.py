@@ -23,7 +23,7 @@ SAMPLE = 20_000         # labelled documents from which the weights of the conte
 LABELS_SENT = 2_000_000  # as many labels at most are broadcast (48 MB); beyond, Spark joins by shuffle
 COPY_WIDTH, COPY_PERCENT = 5, 75    # documents of one label are near copies from this Jaccard similarity of their sets of word shingles on
 STEMS = range(3, 8)     # lengths of word starts that can be terms
-CACHE = 100_000         # matched words that a task remembers
+CACHE = 200_000         # matched words that a worker remembers (30 MB)
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Quotations within a line; the opening sign cannot stand inside, so unclosed ones cost no second look.
@@ -360,7 +360,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     Null and empty texts get the score of a text without terms. Every row and column stays, and whole texts are read, one at a time.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(model.terms, model.known)     # and its cache live as long as the task
+        lexicon = _lexicon(model)
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             scores = [model.score(lexicon.features(t.as_py() or "")) for t in batch.column(at)]
@@ -370,3 +370,15 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("score", "predicted")]
     return docs.mapInArrow(run, ", ".join([*fields, "score double, predicted int"]))
+
+
+_LEXICON: dict[int, Lexicon] = {}
+
+
+def _lexicon(model: ToxicityModel) -> Lexicon:
+    """The worker's lexicon, at most one: the tasks that a worker runs one after the other share its matched words."""
+    key = hash((frozenset(model.terms.items()), frozenset(model.known)))
+    if key not in _LEXICON:
+        _LEXICON.clear()
+        _LEXICON[key] = Lexicon(model.terms, model.known)
+    return _LEXICON[key]
