@@ -15,6 +15,8 @@ from spendline.session import stage_path
 
 HOT_BLOCK, HOT_MOST = 4_000_000, 1_000_000     # shingles that a task counts together; shingles that are ranked by frequency (16 MB)
 SKETCHES = 8        # min-hashes by which copies find a leader
+NEAR = 8            # how far apart the neighbours are that are compared before whole groups are
+PAIRS_HELD = 500_000    # candidate pairs that a task holds before it hands them on
 GROUP = 256         # members that are compared with one hub at a time
 FEW_IDS = 1_000_000  # as many ids at most are broadcast (16 MB)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -170,45 +172,105 @@ def document_sets(docs: DataFrame, width: int, percent: int, hot: np.ndarray) ->
     return docs.mapInArrow(run, "id long, version long, n long, s1 long, s2 long, sketch array<long>, parity binary, prefix array<long>")
 
 
+_PREFIX = ["token", "id", "component", "n", "at"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Columns of `_PREFIX`, sorted by token, in portions that hold all rows of their tokens."""
+    carry = None
+    for batch in batches:
+        rows = np.stack([batch.column(c).to_numpy() for c in _PREFIX])
+        if carry is not None:
+            rows = np.concatenate([carry, rows], 1)
+        if not rows.shape[1]:
+            continue
+        last = int(np.searchsorted(rows[0], rows[0, -1]))
+        carry = rows[:, last:]
+        if last:
+            yield rows[:, :last]
+    if carry is not None:
+        yield carry
+
+
+def _mixed(rows: np.ndarray) -> np.ndarray:
+    """The rows of tokens that stand in several components."""
+    starts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
+    mixed = np.minimum.reduceat(rows[2], starts) != np.maximum.reduceat(rows[2], starts)
+    return rows[:, np.repeat(mixed, np.diff(np.r_[starts, rows.shape[1]]))]
+
+
+def _can_link(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of prefix rows of one token can reach the threshold, by size and by the place of the token; `small` has the smaller sets."""
+    (_, _, c1, n1, at1), (_, _, c2, n2, at2) = small, large
+    near = (c1 != c2) & (100 * n1 >= percent * n2) & (at1 <= n1 - -(-2 * percent * n1 // (100 + percent)) + 1)
+    return near & (np.minimum(n1 - at1, n2 - at2) + 1 >= -(-percent * (n1 + n2) // (100 + percent)))
+
+
+def neighbours(prefixes: DataFrame, percent: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs (`a`, `b`) of rows that stand at most `NEAR` apart in a shuffled order of a token's rows, and the rows of all tokens in several components.
+
+    The order is another one for each token, and the pairs grow with the rows; in a group of
+    edited copies they already form one component, and the pairs of the whole group never arise.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            rows = _mixed(rows)
+            if not rows.shape[1]:
+                continue
+            order = np.lexsort((mix(rows[1].view(np.uint64) ^ mix(rows[0].view(np.uint64))), rows[0]))
+            found = []
+            for apart in range(1, NEAR + 1):
+                one, two = rows[:, order[:-apart]], rows[:, order[apart:]]
+                swap = one[3] > two[3]
+                good = (one[0] == two[0]) & _can_link(np.where(swap, two, one), np.where(swap, one, two), percent)
+                found.append(np.sort(np.stack([one[1][good], two[1][good]]), 0))
+            pairs = np.unique(np.concatenate(found, 1), axis=1)
+            size, none = rows.shape[1], pairs.shape[1]
+            columns = {"kind": np.r_[np.zeros(size, np.int32), np.ones(none, np.int32)], "token": np.r_[rows[0], pairs[0]], "id": np.r_[rows[1], pairs[1]],
+                       "n": np.r_[rows[3], np.zeros(none, np.int64)], "at": np.r_[rows[4], np.zeros(none, np.int64)]}
+            yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+    spark = prefixes.sparkSession
+    dealt = prefixes.select(*_PREFIX).repartition("token").sortWithinPartitions("token")
+    dealt.mapInArrow(run, "kind int, token long, id long, n long, at long").write.partitionBy("kind").parquet(path)
+    out = spark.read.schema("token long, id long, n long, at long, kind int").parquet(path)
+    pairs = out.where("kind = 1").select(F.col("token").alias("a"), F.col("id").alias("b")).where("a != b").distinct()
+    return pairs, out.where("kind = 0").drop("kind")
+
+
 def candidates(prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs (`a`, `b`) of different components that share a prefix shingle and can reach the threshold by size and position.
 
     `prefixes` has a row per document and prefix shingle: `token`, `id`, `component`, `n`, `at`.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = None
-        for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("token", "id", "component", "n", "at")])
-            if carry is not None:
-                rows = np.concatenate([carry, rows], 1)
-            last = int(np.searchsorted(rows[0], rows[0, -1]))
-            carry = rows[:, last:]
-            if last:
-                yield from paired(rows[:, :last])
-        if carry is not None:
-            yield from paired(carry)
+        for rows in _groups(batches):
+            yield from paired(_mixed(rows))
 
     def paired(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
-        mixed = np.minimum.reduceat(rows[2], starts) != np.maximum.reduceat(rows[2], starts)
-        stops = np.r_[starts[1:], rows.shape[1]]
-        found = []
-        for start, stop in zip(starts[mixed], stops[mixed]):
-            _, ids, component, n, at = rows[:, start:stop]      # sorted by n
-            indexed = at <= n - -(-2 * percent * n // (100 + percent)) + 1      # the smaller one's shingle lies in the shorter prefix
-            low = np.searchsorted(n, -(-percent * n // 100))
-            for x in range(1, len(ids)):
+        starts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]]) if rows.shape[1] else []
+        found, size = [], 0
+        for start, stop in zip(starts, [*starts[1:], rows.shape[1]]):
+            group = rows[:, start:stop]     # sorted by n
+            low = np.searchsorted(group[3], -(-percent * group[3] // 100))
+            for x in range(1, stop - start):
                 y = np.arange(low[x], x)
-                y = y[indexed[y] & (component[y] != component[x])]
-                need = -(-percent * (n[y] + n[x]) // (100 + percent))
-                y = y[np.minimum(n[y] - at[y], n[x] - at[x]) + 1 >= need]
+                y = y[_can_link(group[:, y], group[:, x:x + 1], percent)]
                 if len(y):
-                    found.append(np.stack([np.minimum(ids[y], ids[x]), np.maximum(ids[y], ids[x])]))
+                    pair = np.stack([group[1][y], np.broadcast_to(group[1][x], y.shape)])
+                    found.append(np.sort(pair, 0))
+                    size += len(y)
+                if size >= PAIRS_HELD:
+                    yield emitted(found)
+                    found, size = [], 0
         if found:
-            pairs = np.unique(np.concatenate(found, 1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            yield emitted(found)
+
+    def emitted(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(found, 1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    dealt = prefixes.repartition("token").sortWithinPartitions("token", "n", "id")
+    dealt = prefixes.select(*_PREFIX).repartition("token").sortWithinPartitions("token", "n", "id")
     return dealt.mapInArrow(run, "a long, b long").where("a != b").distinct()
 
 
@@ -259,8 +321,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words, the whole sequence is the one shingle).
 
     1. Equal sets are one. 2. Min-hashes name each set a leader; those that truly link with it join it, so that a group
-    of copies is one component before any pairs are made. 3. Prefix shingles in a global order (frequent ones last) bring together all pairs of different
-    components that can link; parities rule out most of the others, and a prefix tree of the partners of a hub decides. 4. Components of all links found. Steps 1, 3 and 4 are exact; step 2 only saves work.
+    of copies is one component before any pairs are made. 3. Prefix shingles in a global order (frequent ones last) bring together the sets that can link; first only
+    neighbours in a shuffled order are compared, which joins groups of edited copies. 4. Then all pairs of different
+    components that can link; parities rule out most of the others, and a prefix tree of the partners of a hub decides. 5. Components of all links found. Steps 1, 4 and 5 are exact; steps 2 and 3 only save work.
 
     Null or empty texts, or those without words: no shingles, linked with nothing. A null id has no component, and links nothing. Rows that share an
     id are one document: a link of either is a link of the id. An empty table gives no rows. No other column is read.
@@ -299,14 +362,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     components(links).write.parquet(f"{base}/merged")
     merged = spark.read.parquet(f"{base}/merged").withColumnRenamed("node", "id")
 
-    # 3. everything else
-    state = reps.select("id", "n", "prefix").join(merged, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    prefixes = state.select(F.posexplode("prefix").alias("at", "token"), "id", "component", "n").select("token", "id", "component", "n", (F.col("at") + 1).cast("long").alias("at"))
-    candidates(prefixes, percent).write.parquet(f"{base}/candidates")
+    # 3. neighbours among those that share a prefix shingle
+    inside = lambda df, parts: df.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))      # noqa: E731
+    prefixes = inside(reps.select("id", "n", "prefix"), merged).select(F.posexplode("prefix").alias("at", "token"), "id", "component", "n").withColumn("at", (F.col("at") + 1).cast("long"))
+    near, shared = neighbours(prefixes, percent, f"{base}/neighbours")
+    near.write.parquet(f"{base}/near")
+    possible(spark.read.parquet(f"{base}/near"), reps, percent).write.parquet(f"{base}/near-pairs")
+    near = spark.read.parquet(f"{base}/near-pairs")
+    linked(near, texts_of(near, "near-ids"), width, percent).write.parquet(f"{base}/links-2")
+    links = links.unionByName(spark.read.parquet(f"{base}/links-2"))
+    components(links).write.parquet(f"{base}/merged-2")
+
+    # 4. everything else
+    merged = spark.read.parquet(f"{base}/merged-2").withColumnRenamed("node", "id")
+    candidates(inside(shared, merged), percent).write.parquet(f"{base}/candidates")
     possible(spark.read.parquet(f"{base}/candidates"), reps, percent).write.parquet(f"{base}/pairs")
     pairs = spark.read.parquet(f"{base}/pairs")
-    linked(pairs, texts_of(pairs, "pair-ids"), width, percent).write.parquet(f"{base}/links-2")
-    more = spark.read.parquet(f"{base}/links-2")
+    linked(pairs, texts_of(pairs, "pair-ids"), width, percent).write.parquet(f"{base}/links-3")
+    more = spark.read.parquet(f"{base}/links-3")
     # copies, and so sets that share an id, belong together
     twice = copies.select(F.col("rep").alias("a"), F.col("id").alias("b"))
     components(links.unionByName(more).unionByName(twice)).write.parquet(f"{base}/final")
