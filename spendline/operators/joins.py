@@ -9,6 +9,7 @@ third of the rows costs one row after the map side.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,38 @@ def lookup(df: DataFrame, ref: DataFrame, on: Mapping[str, str], columns: Mappin
     return out.drop(*keys.values())
 
 
+HOT_SHARE = 200     # a key with at least 1/HOT_SHARE of the rows is hot, so at most so many keys are
+SALTS = 32
+
+
+def lookup_skewed(df: DataFrame, ref: DataFrame, on: Mapping[str, str], columns: Mapping[str, str] | Sequence[str],
+                  found: str | None = None, salts: int = SALTS) -> DataFrame:
+    """`lookup` for keys that are often NULL or of which a few hold most rows.
+
+    Rows with a NULL key match nothing, so any partition will do: a salt from the whole row spreads them. Hot keys (counted with a
+    map-side combine; at most `HOT_SHARE` of them, so their list is broadcast) are spread in the same way, and only their rows of the
+    reference are repeated once per salt. All other keys have the salt 0. The salt is a hash of the row, so a recomputed task deals out the same rows.
+    """
+    take = columns if isinstance(columns, Mapping) else {c: c for c in columns}
+    keys = {d: f"__ref_{r}" for d, r in on.items()}
+    known = [F.col(d).isNotNull() for d in on]
+    counts = df.where(reduce(Column.__and__, known)).groupBy(*on).agg(F.count("*").alias("__n"))
+    total = df.agg(F.count("*")).scalar()
+    hot = counts.where(F.col("__n") * HOT_SHARE >= total).select(*on, F.lit(True).alias("__hot"))
+    own = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
+    left = df.join(F.broadcast(hot), list(on), "left") if on else df
+    lost = reduce(Column.__or__, [~k for k in known])
+    left = left.withColumn("__salt", F.when(lost | F.coalesce("__hot", F.lit(False)), own).otherwise(0)).select(*df.columns, "__salt")
+    right = ref.select(*[F.col(r).alias(keys[d]) for d, r in on.items()], *[F.col(r).alias(o) for r, o in take.items()])
+    marks = hot.select(*[F.col(d).alias(keys[d]) for d in on], "__hot")
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = right.join(F.broadcast(marks), list(keys.values()), "left").withColumn("__ref_salt", F.explode(copies)).drop("__hot")
+    out = left.join(right, [*[F.col(d) == F.col(k) for d, k in keys.items()], F.col("__salt") == F.col("__ref_salt")], "left")
+    if found:
+        out = out.withColumn(found, F.col(next(iter(keys.values()))).isNotNull())
+    return out.drop(*keys.values(), "__salt", "__ref_salt")
+
+
 def resolved_flag(df: DataFrame, ref: DataFrame, on: Mapping[str, str], name: str) -> DataFrame:
     return lookup(df, ref.select(*on.values()).distinct(), on, {}, found=name)
 

@@ -12,7 +12,7 @@ from spendline.functions.exprs import pct, surrogate_key
 from spendline.operators.aggregates import with_total
 from spendline.operators.joins import asof_versions, lookup
 from spendline.operators.quality import Rule, key_rule, results, row_count_rule, row_rules
-from spendline.operators.windows import global_percent_rank, global_rank, rank_within
+from spendline.operators.windows import global_percent_ranks, global_rank, rank_within
 from spendline.sources.tables import from_rows
 
 # Fixed values
@@ -115,10 +115,8 @@ def opportunities(items: DataFrame, risk: DataFrame, prediction_date: str, facto
 
 def prioritise(opp: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
     """Weighted priority from whole-table percent ranks, band, driver, and three ranks."""
-    out = opp
-    for column, score in [("PotentialAnnualSavingsEUR", "SavingsPotentialScore"), ("AnnualizedEligibleSpendEUR", "SpendScaleScore"),
-                          ("PricingOpportunityPct", "PricingSignalScore"), ("MaverickSpendPct", "MaverickSignalScore")]:
-        out = global_percent_rank(out, column, score, source=opp)
+    out = global_percent_ranks(opp, {"PotentialAnnualSavingsEUR": "SavingsPotentialScore", "AnnualizedEligibleSpendEUR": "SpendScaleScore",
+                                     "PricingOpportunityPct": "PricingSignalScore", "MaverickSpendPct": "MaverickSignalScore"})
     clamp = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(100.0))
     out = out.withColumns({
         "SupplierRiskPriorityScore": clamp(F.col("SupplierRiskScoreForPriority")),

@@ -115,7 +115,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
     The table is ranked by (key, order) as a whole; the rank within a key is the distance to the
     key's first rank, which a map-side combined aggregate finds.
     """
-    ranked = reliable(global_rank(df, [*[F.col(k).asc_nulls_first() for k in keys], *order], "__rank"))
+    ranked = global_rank(df, [*[F.col(k).asc_nulls_first() for k in keys], *order], "__rank")     # over a pinned copy, so both uses agree
     starts = ranked.groupBy(*[F.col(k).alias(f"__by_{k}") for k in keys]).agg(F.min("__rank").alias("__start"))
     joined = ranked.join(starts, [F.col(k).eqNullSafe(F.col(f"__by_{k}")) for k in keys], "left")
     return joined.withColumn(name, F.col("__rank") - F.col("__start") + 1).select(*df.columns, name)
@@ -178,6 +178,25 @@ def global_percent_rank(df: DataFrame, column: str, name: str, scale: float = 10
     return ranked.withColumn(name, score).select(*df.columns, name)
 
 
+def global_percent_ranks(df: DataFrame, columns: Mapping[str, str], scale: float = 100.0) -> DataFrame:
+    """`global_percent_rank` of several number columns (column -> output) from one ladder.
+
+    The columns are unpivoted to (metric, value) counts, which one range sort puts in order; it is pinned once, and each column picks its
+    steps from it. Values are compared as doubles.
+    """
+    pairs = F.array(*[F.struct(F.lit(k).alias("__m"), F.col(c).cast("double").alias("__v")) for k, c in enumerate(columns)])
+    ladder = cumulative_by_value(df.select(F.inline(pairs)), ["__m", "__v"], F.lit(1)).withColumn("__before", F.col("Cumulative") - F.col("Weight"))
+    ladder = reliable(ladder.select("__m", "__v", "__before"))
+    starts = F.broadcast(ladder.groupBy("__m").agg(F.min("__before").alias("__start")))        # one row a column
+    steps = ladder.join(starts, "__m").where(F.col("__v").isNotNull()).select("__m", "__v", (F.col("__before") - F.col("__start")).alias("__below"))
+    others, out = df.agg(F.count("*") - 1).scalar(), df
+    for k, (c, name) in enumerate(columns.items()):
+        ranked = out.join(steps.where(F.col("__m") == k), F.col(c).cast("double") == F.col("__v"), "left")
+        score = F.coalesce(F.try_divide(F.col("__below"), others), F.lit(0.0)) * scale
+        out = ranked.withColumn(name, score).select(*out.columns, name)
+    return out
+
+
 def ladder_percentile(ladder: DataFrame, target: DataFrame, column: str, name: str) -> DataFrame:
     """Share (in %) of reference values at or below each target value, from a stored ladder: `column` and `Weight`, its number of reference rows.
 

@@ -599,6 +599,25 @@ def _(m):
     return A.share_of_total(per, "n", "SharePct", ["PerformanceYear"])
 
 
+@query("Q14_class_balance_overall", "HighRiskNextYearFlag:int n:long SharePct:double", """
+    SELECT HighRiskNextYearFlag, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM risk_labels), 2) AS SharePct FROM risk_labels GROUP BY 1""")
+def _(m):
+    return A.share_of_total(m["risk_labelled"].groupBy("HighRiskNextYearFlag").agg(F.count("*").alias("n")), "n", "SharePct")
+
+
+@query("Q15_feature_profile", "OrderYear:int n:long Suppliers:long Materials:long AvgUnitPrice:double MinUnitPrice:double MaxUnitPrice:double AvgMaterialHistory:double AvgCoverage:double NoHistory:long", """
+    SELECT OrderYear, count(*) AS n, count(DISTINCT SupplierID) AS Suppliers, count(DISTINCT MaterialID) AS Materials, round(CAST(sum(pu_eur) AS DOUBLE) / 10000.0::DOUBLE / count(*), 6) AS AvgUnitPrice,
+      min(pu_eur) / 10000.0::DOUBLE AS MinUnitPrice, max(pu_eur) / 10000.0::DOUBLE AS MaxUnitPrice, round(CAST(sum(MaterialHistoryCount) AS DOUBLE) / count(*), 6) AS AvgMaterialHistory,
+      round(CAST(sum(BenchmarkCoverageCount) AS DOUBLE) / count(*), 6) AS AvgCoverage, count(*) FILTER (MaterialHistoryCount = 0) AS NoHistory
+    FROM price_feat GROUP BY 1""")
+def _(m):
+    price, mean = F.col("UnitPriceEUR"), lambda c: F.round(F.sum(c).cast("double") / F.count("*"), 6)        # noqa: E731
+    return m["price_features"].groupBy("OrderYear").agg(
+        F.count("*").alias("n"), F.countDistinct("SupplierID").alias("Suppliers"), F.countDistinct("MaterialID").alias("Materials"), mean(price.cast("decimal(28,4)")).alias("AvgUnitPrice"),
+        F.min(price).cast("double").alias("MinUnitPrice"), F.max(price).cast("double").alias("MaxUnitPrice"), mean(F.col("MaterialHistoryCount")).alias("AvgMaterialHistory"),
+        mean(F.col("BenchmarkCoverageCount")).alias("AvgCoverage"), F.count_if(F.col("MaterialHistoryCount") == 0).alias("NoHistory"))
+
+
 @query("Q15_benchmark_coverage", "OrderYear:int POItemCount:long MaterialPct:double SupplierMaterialPct:double CategoryPct:double ContractPct:double RulePct:double", """
     SELECT OrderYear, count(*) AS POItemCount, round(avg(CAST(HasMaterialHistoryFlag AS DOUBLE)) * 100.0, 2) AS MaterialPct,
       round(avg(CAST(HasSupplierMaterialHistoryFlag AS DOUBLE)) * 100.0, 2) AS SupplierMaterialPct, round(avg(CAST(HasCategoryHistoryFlag AS DOUBLE)) * 100.0, 2) AS CategoryPct,

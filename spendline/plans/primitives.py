@@ -242,6 +242,23 @@ def _(m):
     return out.groupBy("Country").agg(F.count("*").alias("n"))
 
 
+@query("P41_skewed_lookup", "ContractType:string n:long amount:double resolved:long", """
+    SELECT ContractType, count(*) AS n, sum(amt) / 100.0 AS amount, count(c.ContractID) AS resolved FROM po_items p LEFT JOIN c_contract c ON p.ContractID = c.ContractID GROUP BY 1""")
+def _(m):
+    """Two tenths of the items have no contract."""
+    out = J.lookup_skewed(m["bronze_purchase_order_item"], m["silver_contract"], {"ContractID": "ContractID"}, ["ContractType"], found="Resolved")
+    return out.groupBy("ContractType").agg(F.count("*").alias("n"), F.sum("LineAmount").alias("amount"), F.count_if("Resolved").alias("resolved"))
+
+
+@query("P43_skewed_composite", "Currency:string n:long rates:long", """
+    SELECT POCurrency AS Currency, count(*) AS n, count(ru) AS rates FROM po_items LEFT JOIN fx ON d = OrderDate AND ccy = POCurrency GROUP BY 1""")
+def _(m):
+    """Items by the order date and currency of their order."""
+    items = m["bronze_purchase_order_item"].select("POID").join(m["bronze_purchase_order_header"].select("POID", "OrderDate", "Currency"), "POID")
+    out = J.lookup_skewed(items, m["silver_exchange_rate"], {"OrderDate": "RateDate", "Currency": "Currency"}, ["ExchangeRateToEUR"])
+    return out.groupBy("Currency").agg(F.count("*").alias("n"), F.count("ExchangeRateToEUR").alias("rates"))
+
+
 @query("P42_resolved_flag", "Found:boolean n:long", """
     SELECT c.ContractID IS NOT NULL AS Found, count(*) AS n FROM po_items p LEFT JOIN c_contract c ON p.ContractID = c.ContractID GROUP BY 1""")
 def _(m):

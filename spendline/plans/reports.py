@@ -89,15 +89,18 @@ def _(m):
     return report(m, M.PERF, PERFORMANCE, [], {}, "PerformanceYear = 2000")
 
 
-@query("R07_anomaly_table", "SupplierID:string CategoryName:string Anomalies:long Items:long AnomalyRate:double", f"""
+@query("R07_anomaly_table", "SupplierID:string CategoryName:string Anomalies:long Items:long AnomalyRate:double AffectedSpend:double", f"""
     SELECT SupplierID, CategoryName, count(*) FILTER (PricingAnomalyFlag = 1) AS Anomalies, count(*) AS Items,
-      count(*) FILTER (PricingAnomalyFlag = 1) / CAST(count(*) AS DOUBLE) AS AnomalyRate FROM {_LATEST_PRICE} JOIN c_category USING (CategoryID)
+      count(*) FILTER (PricingAnomalyFlag = 1) / CAST(count(*) AS DOUBLE) AS AnomalyRate, CAST(coalesce(any_value(spend_c), 0) AS DOUBLE) / 100.0 AS AffectedSpend
+    FROM {_LATEST_PRICE} JOIN c_category USING (CategoryID) LEFT JOIN (
+      SELECT POSupplierID AS SupplierID, CategoryID, sum(elig_c) AS spend_c FROM fact_po WHERE POItemID IN ({M._ANOMALY_ITEMS}) GROUP BY 1, 2) USING (SupplierID, CategoryID)
     GROUP BY 1, 2""")
 def _(m):
     f = M.star(m, M.PRICE, {"dim_category": ["CategoryName"]}, frame=M.latest_snapshot(m[M.PRICE]))
-    per = f.groupBy("SupplierID", "CategoryName").agg(F.count_if(F.col("PricingAnomalyFlag") == 1).alias("Anomalies"), F.count("*").alias("Items"))
-    per = per.withColumn("AnomalyRate", F.col("Anomalies") / F.col("Items"))
-    return per.orderBy(F.desc("Anomalies"), F.desc("Items"), "SupplierID", "CategoryName")
+    per = f.groupBy("SupplierID", "CategoryID", "CategoryName").agg(F.count_if(F.col("PricingAnomalyFlag") == 1).alias("Anomalies"), F.count("*").alias("Items"))
+    spend = M.spend_of_anomalies(m).groupBy("SupplierID", "CategoryID").agg(F.sum("EligibleSpendEUR").alias("AffectedSpend"))
+    per = per.join(spend, ["SupplierID", "CategoryID"], "left").withColumns({"AnomalyRate": F.col("Anomalies") / F.col("Items"), "AffectedSpend": F.coalesce("AffectedSpend", F.lit(0))})
+    return per.orderBy(F.desc("Anomalies"), F.desc("AffectedSpend"), "SupplierID", "CategoryName")
 
 
 @query("R08_year_supplier_drilldown", "PerformanceYear:int SupplierName:string " + _columns(DRILLDOWN),
@@ -177,18 +180,23 @@ def _(m):
     return per.orderBy(F.desc("pricing_anomalies"), "CategoryName")
 
 
-@query("R18_anomaly_exposure", "SupplierID:string exposure:double", f"""
-    SELECT POSupplierID AS SupplierID, sum(elig_c) / 100.0 AS exposure FROM fact_po WHERE POItemID IN ({M._ANOMALY_ITEMS}) GROUP BY 1""")
+@query("R18_anomaly_exposure", "SupplierID:string Items:long Anomalies:long AnomalyRate:double exposure:double", f"""
+    SELECT SupplierID, count(*) AS Items, count(*) FILTER (PricingAnomalyFlag = 1) AS Anomalies, count(*) FILTER (PricingAnomalyFlag = 1) / CAST(count(*) AS DOUBLE) AS AnomalyRate,
+      any_value(spend_c) / 100.0 AS exposure
+    FROM {_LATEST_PRICE} JOIN (SELECT POSupplierID AS SupplierID, sum(elig_c) AS spend_c FROM fact_po WHERE POItemID IN ({M._ANOMALY_ITEMS}) GROUP BY 1) USING (SupplierID) GROUP BY 1""")
 def _(m):
-    return M.spend_of_anomalies(m).groupBy("SupplierID").agg(F.sum("EligibleSpendEUR").alias("exposure")).orderBy(F.desc("exposure"))
+    spend = M.spend_of_anomalies(m).groupBy("SupplierID").agg(F.sum("EligibleSpendEUR").alias("exposure"))
+    per = M.latest_snapshot(m[M.PRICE]).groupBy("SupplierID").agg(F.count("*").alias("Items"), F.count_if(F.col("PricingAnomalyFlag") == 1).alias("Anomalies"))
+    return per.join(spend, "SupplierID").withColumn("AnomalyRate", F.col("Anomalies") / F.col("Items")).orderBy(F.desc("exposure"))
 
 
-@query("R19_top_opportunities", "SupplierID:string CategoryName:string Savings:double ActionableSavings:double NegotiationPriority:string", f"""
-    SELECT SupplierID, CategoryName, saving AS Savings, CASE WHEN ActionableOpportunityFlag = 1 THEN saving ELSE 0 END AS ActionableSavings, NegotiationPriority FROM {_LATEST_OPP} JOIN c_category USING (CategoryID)""")
+@query("R19_top_opportunities", "SupplierID:string CategoryName:string Savings:double ActionableSavings:double NegotiationPriority:string NegotiationPriorityScore:double", f"""
+    SELECT SupplierID, CategoryName, saving AS Savings, CASE WHEN ActionableOpportunityFlag = 1 THEN saving ELSE 0 END AS ActionableSavings, NegotiationPriority, score AS NegotiationPriorityScore
+    FROM {_LATEST_OPP} JOIN c_category USING (CategoryID)""")
 def _(m):
     f = M.star(m, M.OPP, {"dim_category": ["CategoryName"]}, frame=M.latest_snapshot(m[M.OPP])).withColumn("Savings", F.col("PotentialAnnualSavingsEUR"))
     f = f.withColumn("ActionableSavings", F.when(F.col("ActionableOpportunityFlag") == 1, F.col("Savings")).otherwise(0))
-    return f.orderBy(F.desc("Savings"), "SupplierID", "CategoryName")
+    return f.orderBy(F.desc("Savings"), F.desc("NegotiationPriorityScore"), "SupplierID", "CategoryName")
 
 
 @query("R20_savings_trend", "Year:int Forecast:double Approved:double Realized:double", """

@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from spendline.operators import damage, ml, promotion
+from spendline.operators import damage, joins, ml, promotion
 from spendline.operators import quality as QL
 from spendline.operators.model_store import ModelStore, fingerprint
 from spendline.operators.windows import reference_percentile
@@ -186,3 +186,24 @@ def test_damage_strikes_the_same_keys_in_sql(spark):
     other = {r.key for r in df.where(damage.struck("key", "other")).collect()}
     assert all(out[k] == (None if k in other else v + 1000 if k in hit else v) for k, v in rows)
     assert damage.repeated(df, "key", "m").count() == 501 + len(hit) and damage.removed(df, "key", "m").count() == 501 - len(hit)
+
+
+def test_lookup_spreads_null_and_hot_keys(spark):
+    rng = random.Random(9)
+    rows = [(None if k % 10 else f"k{rng.randint(0, 400)}", k) for k in range(6000)] + [("hot", k) for k in range(6000, 12000)] + [("lost", -1), ("lost", -1)]
+    df = spark.createDataFrame(rows, "key string, v long")
+    ref = spark.createDataFrame([(f"k{k}", k) for k in range(300)] + [("hot", -7), (None, -8), ("k1", 1000)], "id string, value long")
+    plain = lambda out: Counter(map(tuple, out.select("key", "v", "value", "hit").collect()))      # noqa: E731
+    want = plain(joins.lookup(df, ref, {"key": "id"}, ["value"], found="hit"))
+    out = joins.lookup_skewed(df, ref, {"key": "id"}, ["value"], found="hit")
+    assert plain(out) == want and out.columns == ["key", "v", "value", "hit"]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}.items():
+            spark.conf.set(k, v)
+        spread = sorted(r[1] for r in joins.lookup_skewed(df, ref, {"key": "id"}, ["value"], salts=256).groupBy(F.spark_partition_id()).count().collect())
+        one = sorted(r[1] for r in joins.lookup(df, ref, {"key": "id"}, ["value"]).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert spread[-1] <= 2 * spread[len(spread) // 2] and one[-1] > 2 * one[len(one) // 2]
