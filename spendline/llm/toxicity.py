@@ -23,14 +23,14 @@ SAMPLE = 20_000         # labelled documents from which the weights of the conte
 LABELS_SENT = 2_000_000  # as many labels at most are broadcast (48 MB); beyond, Spark joins by shuffle
 COPY_WIDTH, COPY_PERCENT = 5, 75    # documents of one label are near copies from this Jaccard similarity of their sets of word shingles on
 STEMS = range(3, 8)     # lengths of word starts that can be terms
-CACHE = 200_000         # matched words that a worker remembers (30 MB)
+CACHE = 400_000         # matched words that a worker remembers (60 MB)
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Quotations within a line; the opening sign cannot stand inside, so unclosed ones cost no second look.
 _QUOTES = re.compile("\"[^\"\\n]*\"|\u201c[^\u201c\u201d\\n]*\u201d|\u201e[^\u201e\u201c\\n]*\u201c|\u00ab[^\u00ab\u00bb\\n]*\u00bb")
 #: Digits and signs that stand for letters inside of a word. Fixed values.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-_ODD = re.compile(r"[^\W\d_][013457@$!]|[013457@$!][^\W\d_]")
+_ODD = re.compile(r"[013457@$!](?=[^\W\d_])")      # before a letter: cheap to look for, and most texts have none
 _ODD_WORD = re.compile(r"[^\W_@$!]*(?:[@$!]+[^\W_@$!]+)+|[^\W_@$!]+")
 #: Words that report what others said; within the window before a term they mark quotation.
 REPORTING = set("said says say quote quoted quotes quoting called calls wrote writes word words term terms slur meaning means defined definition "

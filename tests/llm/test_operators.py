@@ -335,7 +335,7 @@ def test_look_alikes_and_long_quotations():
     lexicon = toxicity.Lexicon({"idiot": 1.0, "scum": 0.8, "belly": 0.5, "vequ*": 0.7}, set())
     assert lexicon.match_odd("1d10t") == ("idiot", 1.0, True) and lexicon.match_odd("be11y") == ("belly", 0.5, True) and lexicon.match_odd("v3qual$") == ("vequ*", 0.7, True)
     assert all(lexicon.match_odd(w) is None for w in ("idiot", "1010", "x3y", "", "$$$", "id10tt5"))
-    assert lexicon.features("you 1d10t!")[1] > 0 and lexicon.features('he said "you 1d10t"')[1] == 0
+    assert lexicon.features("you 1d10t!")[1] > 0 and lexicon.features("id10t")[1] > 0 == lexicon.features("at 10 am, 5x5, idi- 0t")[1] and lexicon.features('he said "you 1d10t"')[1] == 0
     long = "lorem " * 2000
     assert lexicon.features(f'they wrote: "{long} scum {long}" yesterday')[0] == 0 < lexicon.features(f'"{long}" and you scum "{long}"')[0]
     start = time.perf_counter()
