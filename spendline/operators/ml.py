@@ -103,11 +103,11 @@ class RiskModel:
 SCORE_COLUMNS = ["SupplierID", "PerformanceYear", LABEL, "Score"]
 
 
-def fold_scores(data: DataFrame, specs: dict, numeric: Sequence[str], store: ModelStore, key: str, folds: int, parallelism: int = 4) -> DataFrame:
+def fold_scores(data: DataFrame, specs: dict, numeric: Sequence[str], store: ModelStore, key: str, folds: int, parallelism: int = 8) -> DataFrame:
     """Out-of-fold scores of all candidates as one table, partitioned by `ModelName` and `Fold`.
 
     Each fold of each candidate is fitted, scores its own rows into its own partition and is forgotten: no plan holds two models. A few
-    folds are fitted side by side, as their jobs are short. Folds that are already written (of a run that was interrupted) are kept.
+    folds are fitted side by side, the last candidate's (the slowest) first, as their jobs are short. Folds that are already written (of a run that was interrupted) are kept.
     """
     base = store.path("tables", "risk_fold_scores", key)
 
@@ -120,7 +120,7 @@ def fold_scores(data: DataFrame, specs: dict, numeric: Sequence[str], store: Mod
         scored.write.mode("overwrite").parquet(f"{base}/ModelName={name}/{FOLD}={fold}")
         store.register("risk_fold", f"{key}-{name}-{fold}", "tables")
 
-    parts = [(name, fold) for name in specs for fold in range(folds)]
+    parts = [(name, fold) for name in reversed(specs) for fold in range(folds)]
     with ThreadPool(min(parallelism, len(parts))) as pool:
         pool.map(inheritable_thread_target(store.spark)(run), parts)
     return stored_fold_scores(store, key)
