@@ -15,7 +15,7 @@ from spendline.session import stage_path
 
 HOT_BLOCK, HOT_MOST = 4_000_000, 1_000_000     # shingles that a task counts together; shingles that are ranked by frequency (16 MB)
 SKETCHES = 8        # min-hashes by which copies find a leader
-NEAR = 8            # how far apart the neighbours are that are compared before whole groups are
+NEAR = 16           # how far apart the neighbours are that are compared before whole groups are
 PAIRS_HELD = 500_000    # candidate pairs that a task holds before it hands them on
 GROUP = 256         # members that are compared with one hub at a time
 FEW_IDS = 1_000_000  # as many ids at most are broadcast (16 MB)
