@@ -108,3 +108,14 @@ def test_invoice_rows_are_typed_behind_the_join(spark):
     plan = out._jdf.queryExecution().analyzed().toString().split("\n")
     below = plan[next(i for i, line in enumerate(plan) if "Join LeftOuter, (POItemID#" in line):]
     assert not any("decimal(20," in line for line in below)
+
+
+def test_readers_of_few_columns_write_no_wide_table(spark, source):
+    m = Mart(spark, source)
+    m._silver_po_spend = lambda: spark.range(3).selectExpr("id", "sha2(cast(id AS string), 256) AS SilverRecordHash")
+    plan = m.narrow["silver_po_spend"].select("id")
+    assert sorted(r.id for r in plan.collect()) == [0, 1, 2] and not glob.glob(f"{m.root}/silver_po_spend")
+    assert "sha2" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert m["silver_po_spend"].count() == 3 and glob.glob(f"{m.root}/silver_po_spend/*.parquet")
+    assert "FileScan" in m.narrow["silver_po_spend"]._jdf.queryExecution().executedPlan().toString()
+    assert m.narrow["order_lines"] is m["order_lines"]       # other tables are staged and shared as before
