@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendline.llm.words import hash_words, mix, portions, rolling, split_words
+from spendline.llm.words import drop_others, hash_words, mix, portions, rolling, split_words
 from spendline.session import stage_path
 
 FILTER_BITS = 23        # the filter of benchmark windows has 2^23 bits (1 MB), whatever the number of items
@@ -31,12 +31,13 @@ _SLOT = mix(np.arange(11, 15, dtype=np.uint64))
 
 def _classify(word: str) -> tuple[int, str, bool, bool]:
     """(class, bare lower-case word, begins with a capital, ends a sentence) of a word."""
-    bare = word if word == "%" else _CORE.sub("", word)
+    letters = word.isalpha()        # nothing to strip, and no digit
+    bare = word if letters or word == "%" else _CORE.sub("", word)
     ends = word[-1:] in ".!?:" or word[-2:-1] in ".!?"
     if not bare:
         return _NOTHING, "", False, ends
     lowered = bare.lower()
-    if any(c.isdigit() for c in bare) or lowered in NUMBERS:
+    if not letters and any(c.isdigit() for c in bare) or lowered in NUMBERS:
         return _NUMBER, lowered, False, ends
     if lowered in UNITS:
         return _UNIT, lowered, False, ends
@@ -68,6 +69,51 @@ def templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray,
     return out
 
 
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """The tokens of `templates` for all texts in one run: template hashes, word hashes, slots, numbers of bare words, the bare words, and the tokens of each text."""
+    distinct, at, counts = split_words(texts, lower=False)
+    described = [_classify(w) for w in distinct.to_pylist()]
+    bare = [d[1] for d in described]
+    kinds = np.array([d[0] for d in described], np.int64)
+    capital, ends = np.array([d[2] for d in described], bool), np.array([d[3] for d in described], bool)
+    kind, text = kinds[at], np.repeat(np.arange(len(counts)), counts)
+    if len(at) > 1:
+        kind[1:][(kind[1:] == _LITERAL) & capital[at[1:]] & ~ends[at[:-1]] & (text[1:] == text[:-1])] = _NAME
+    real = kind != _NOTHING
+    codes, kind, own = at[real], kind[real], hash_words(pa.array(bare, pa.string()))[at[real]]
+    return np.where(kind == _LITERAL, own, _SLOT[np.maximum(kind, 1) - 1]), own, kind != _LITERAL, codes, bare, np.bincount(text[real], minlength=len(counts))
+
+
+def _hits(texts: pa.Array, widths: list[int], least_literals: float, bits: np.ndarray) -> Iterator[tuple[int, int, int, int, list[str]]]:
+    """(text, hash, place, windows of the text, slots) of each window of any of the widths that passes the filter; a text of fewer than `LEAST_TOKENS` tokens is one window.
+
+    The hash of a width follows from that of the width below it, for all texts of a portion at once.
+    """
+    h, own, slot, codes, bare, counts = _tokens(texts)
+    starts = np.cumsum(counts) - counts
+    text = np.repeat(np.arange(len(counts)), counts)
+    left = (starts + counts)[text] - np.arange(len(h))      # tokens of the text from here on
+    slots_before = np.concatenate([[0], np.cumsum(slot)])
+    whole = counts[text]
+    sums = [np.zeros(len(h), np.uint64), np.zeros(len(h), np.uint64)]
+    for width in range(1, max(widths) + 1):
+        n = len(h) - width + 1
+        if n <= 0:
+            return
+        sums = [s[:n] * np.uint64(0x9E3779B97F4A7C15) + x[width - 1:] for s, x in zip(sums, (h, own))]
+        if width >= LEAST_TOKENS and width not in widths:
+            continue
+        at = np.flatnonzero(left[:n] >= width if width >= LEAST_TOKENS else whole[:n] == width)
+        at = at[left[at] == width] if width < LEAST_TOKENS else at
+        exact = slots_before[at + width] - slots_before[at] > (width * (1 - least_literals) if width >= LEAST_TOKENS else -1)
+        found = mix(mix(np.where(exact, sums[1][at], sums[0][at])) + np.uint64(width))
+        where = (found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        for k in np.flatnonzero((bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1).tolist():
+            a = int(at[k])
+            values = [] if exact[k] else [bare[codes[x]] for x in range(a, a + width) if slot[x]]
+            yield int(text[a]), int(found[k].view(np.int64)), a - int(starts[text[a]]), int(counts[text[a]]) - width + 1, values
+
+
 def _windows(frame: DataFrame, widths: list[int], least_literals: float, sent: Broadcast | None) -> DataFrame:
     """`id`, `version`, `h` (hash of the window), `at`, `n` (windows of the text) and `slots` of all windows, or of those that pass the filter `sent`.
 
@@ -78,25 +124,22 @@ def _windows(frame: DataFrame, widths: list[int], least_literals: float, sent: B
     kind = frame.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others()
         bits = sent.value if sent else None
         for batch in batches:
             for part in portions(batch):
                 rows: list[tuple] = []
-                for k, (h, own, slot, codes, bare) in enumerate(templates(part.column("text"))):
+                if bits is not None:
+                    rows.extend(_hits(part.column("text"), widths, least_literals, bits))
+                for k, (h, own, slot, codes, bare) in enumerate(templates(part.column("text")) if bits is None else ()):
                     fitting = [w for w in widths if w <= len(h)] or ([len(h)] if 0 < len(h) < LEAST_TOKENS else [])
                     slots_before = np.concatenate([[0], np.cumsum(slot)])
-                    for width in fitting if bits is not None else fitting[-1:]:
+                    for width in fitting[-1:]:
                         exact = slots_before[width:] - slots_before[:-width] > (width * (1 - least_literals) if width >= LEAST_TOKENS else -1)
-                        run_hash = mix(rolling(h, width) + np.uint64(width))
-                        words_hash = mix(rolling(own, width) + np.uint64(width)) if bits is None or exact.any() else run_hash
-                        run_hash = np.where(exact, words_hash, run_hash)
-                        if bits is not None:
-                            where = (run_hash >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                            hits = np.flatnonzero((bits[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1)
-                        else:
-                            hits = np.arange(len(run_hash))
-                            rows += [(k, int(words_hash[a].view(np.int64)), a, len(exact), []) for a in np.flatnonzero(words_hash != run_hash).tolist()]
-                        for a in hits.tolist():
+                        words_hash = mix(rolling(own, width) + np.uint64(width))
+                        run_hash = np.where(exact, words_hash, mix(rolling(h, width) + np.uint64(width)))
+                        rows += [(k, int(words_hash[a].view(np.int64)), a, len(exact), []) for a in np.flatnonzero(words_hash != run_hash).tolist()]
+                        for a in range(len(run_hash)):
                             values = [] if exact[a] else [bare[codes[x]] for x in range(a, a + width) if slot[x]]
                             rows.append((k, int(run_hash[a].view(np.int64)), a, len(exact), values))
                 yield pa.RecordBatch.from_arrays(

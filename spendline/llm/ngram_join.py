@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendline.llm.components import components
-from spendline.llm.words import mix, portions, shingles
+from spendline.llm.words import drop_others, mix, portions, shingles
 from spendline.session import stage_path
 
 HOT_BLOCK, HOT_MOST = 4_000_000, 1_000_000     # shingles that a task counts together; shingles that are ranked by frequency (16 MB)
@@ -100,6 +100,7 @@ def hot_shingles(docs: DataFrame, width: int, path: str) -> np.ndarray:
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others()
         held, size = [], 0
         for batch in batches:
             for part in portions(batch):

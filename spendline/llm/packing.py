@@ -11,8 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendline.llm.tokens import encoder
-from spendline.llm.words import portions
+from spendline.llm.tokens import _ENCODERS, encoder
+from spendline.llm.words import drop_others, portions
 
 POOL = 2048         # remainders that a task weighs against each other at a time
 WAITING = 1_000_000 # ids of placed pieces that a task holds before it hands them on
@@ -140,6 +140,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          (F.coalesce(F.col(loss_from_col).cast("long"), F.lit(0)) if loss_from_col else F.lit(0).cast("long")).alias("loss_from"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others(_ENCODERS)
         codec = encoder(ranks_file)
         packer = Packer(capacity, max_segments, max_loss, TaskContext.get().partitionId() << 40)
         kind = None

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from spendline.llm.words import kept
+
 #: Texts with white space before a space, or at their end, are encoded whole: there a cut before a space could change the ids.
 _WIDE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]( |\z)"
 
@@ -101,7 +103,7 @@ def added_tokens(json_file: Path) -> dict[str, int]:
     return {t["content"]: t["id"] for t in listed}
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder] = kept({})
 
 
 def encoder(ranks_file: str | None = None) -> WordEncoder:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendline.llm.ngram_join import linked, min_hashes, parities, possible, set_hashes
-from spendline.llm.words import portions, shingles
+from spendline.llm.words import drop_others, kept, portions, shingles
 from spendline.session import stage_path
 
 LEAST_SHARE = 0.01      # share of the toxic documents (three at least) in which a term must stand: less may be one text and its edited copies
@@ -360,6 +360,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     Null and empty texts get the score of a text without terms. Every row and column stays, and whole texts are read, one at a time.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others(_LEXICON)
         lexicon = _lexicon(model)
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
@@ -372,7 +373,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> Data
     return docs.mapInArrow(run, ", ".join([*fields, "score double, predicted int"]))
 
 
-_LEXICON: dict[int, Lexicon] = {}
+_LEXICON: dict[int, Lexicon] = kept({})
 
 
 def _lexicon(model: ToxicityModel) -> Lexicon:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,9 +11,32 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
+KEPT: list[dict] = []   # what operators keep in a worker between tasks
 PORTION = 1 << 20       # bytes of text that are worked on together; a longer text is worked on alone
 
 
+def kept(store: dict) -> dict:
+    """Registers what an operator keeps in its worker from task to task, so that others can drop it (`drop_others`)."""
+    KEPT.append(store)
+    return store
+
+
+def drop_others(own: dict | None = None) -> None:
+    """At the start of a task: a worker forgets what other operators kept in it, and hands freed memory back.
+
+    Spark gives the workers of one stage to the next. Only time depends on what is kept.
+    """
+    for store in KEPT:
+        if store is not own:
+            store.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):       # not the GNU library
+        pass
+
+
 def portions(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of a batch in order, with at most `PORTION` bytes of text or one row each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
