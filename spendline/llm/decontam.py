@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ UNITS = set("% mm cm m km mi ft in yd kg g mg lb lbs oz t l ml cl s sec secs sec
             "kilometres mile miles foot feet inch inches gram grams kilogram kilograms liter liters litre litres degree degrees".split())
 NUMBERS = set("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty "
               "forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half twice".split())
+_UNITS, _NUMBERS = pa.array(sorted(UNITS)), pa.array(sorted(NUMBERS))
 _CORE = re.compile(r"^[\W_]+|[\W_]+$")
 _LITERAL, _NUMBER, _UNIT, _NAME, _NOTHING = range(5)
 _SLOT = mix(np.arange(11, 15, dtype=np.uint64))
@@ -72,10 +74,16 @@ def templates(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray,
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
     """The tokens of `templates` for all texts in one run: template hashes, word hashes, slots, numbers of bare words, the bare words, and the tokens of each text."""
     distinct, at, counts = split_words(texts, lower=False)
-    described = [_classify(w) for w in distinct.to_pylist()]
-    bare = [d[1] for d in described]
-    kinds = np.array([d[0] for d in described], np.int64)
-    capital, ends = np.array([d[2] for d in described], bool), np.array([d[3] for d in described], bool)
+    # words of ASCII letters need no look at each: nothing is stripped, no digit, and the end of a sentence only in a single letter, as `_classify` has it
+    plain = pc.ascii_is_alpha(distinct).to_numpy(zero_copy_only=False)
+    lowered = pc.ascii_lower(distinct)
+    bare = lowered.to_pylist()
+    kinds = np.where(pc.is_in(lowered, _NUMBERS), _NUMBER, np.where(pc.is_in(lowered, _UNITS), _UNIT, _LITERAL)).astype(np.int64)
+    capital = pc.match_substring_regex(distinct, "^[A-Z][a-z]+$").to_numpy(zero_copy_only=False).copy()
+    ends = pc.equal(pc.binary_length(distinct), 1).to_numpy(zero_copy_only=False).copy()
+    others = np.flatnonzero(~plain)
+    for k, word in zip(others.tolist(), distinct.take(pa.array(others)).to_pylist()):
+        kinds[k], bare[k], capital[k], ends[k] = _classify(word)
     kind, text = kinds[at], np.repeat(np.arange(len(counts)), counts)
     if len(at) > 1:
         kind[1:][(kind[1:] == _LITERAL) & capital[at[1:]] & ~ends[at[:-1]] & (text[1:] == text[:-1])] = _NAME
