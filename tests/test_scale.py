@@ -6,6 +6,7 @@ from decimal import Decimal as D
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from spendline.operators import facts, matching, spend
 from spendline.plans.mart import Mart
@@ -119,3 +120,10 @@ def test_readers_of_few_columns_write_no_wide_table(spark, source):
     assert m["silver_po_spend"].count() == 3 and glob.glob(f"{m.root}/silver_po_spend/*.parquet")
     assert "FileScan" in m.narrow["silver_po_spend"]._jdf.queryExecution().executedPlan().toString()
     assert m.narrow["order_lines"] is m["order_lines"]       # other tables are staged and shared as before
+
+
+def test_contracts_fan_out_in_many_tasks(spark, tmp_path):
+    from spendline.sources.tpch import TpchSource
+    spark.range(40).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    got = TpchSource(spark, str(tmp_path)).contract()
+    assert got.rdd.getNumPartitions() > 1 and got.count() == 1000
