@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendline.operators import facts, matching, spend
+from spendline.operators import windows as W
 from spendline.plans.mart import Mart
 from spendline.session import shuffles_dropped
 
@@ -122,6 +123,29 @@ def test_readers_of_few_columns_write_no_wide_table(spark, source):
     assert m.narrow["order_lines"] is m["order_lines"]       # other tables are staged and shared as before
 
 
+def test_prior_stats_move_the_rows_once(spark):
+    df = spark.createDataFrame([(f"i{i}", f"k{i % 7}", f"s{i % 2}", f"2000-01-0{1 + i % 9}", float(i % 5), "text") for i in range(100)],
+                               "id string, k string, s string, d string, x double, payload string")
+    lines = W.prior_stats(df, ["k"], "d", "id", "x", "P")._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert sum("Exchange hashpartitioning" in a and "payload#" in b for a, b in zip(lines, lines[1:])) == 1
+
+
+def test_frequent_keys_are_dealt_by_day_and_change_no_result(spark):
+    rows = [(f"i{i:04d}", None if i % 11 == 0 else "hot" if i % 3 else f"k{i % 400}", f"s{i % 2}", f"2000-01-{1 + i % 28:02d}", float(i * 7 % 13)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, k string, s string, d string, x double")
+    hot = W.frequent_keys(df, [["k"]])[0]
+    placed = df.withColumn("p", W.dealt(["k"], "d", hot))
+    assert placed.where("k = 'hot'").select("p.__hot").distinct().collect() == [(True,)]
+    assert placed.where("NOT p.__hot").select("p").distinct().count() > 0
+    columns = ["id", "XHistoryCount", "XHistoricalAvgPriceEUR", "XHistoricalStdDevPriceEUR"]
+    shown = [F.round(c, 9) if c != "id" else F.col(c) for c in columns]
+    for deal in (F.array(), F.collect_set(F.xxhash64("k"))):        # none by day, all by day
+        every = df.agg(deal.cast("array<bigint>").alias("h")).scalar()
+        got = W.prior_stats(df.withColumn("p", W.dealt(["k"], "d", every)), ["s", "k"], "d", "id", "x", "X", place="p", spread=["k"])
+        want = W.prior_stats(placed, ["s", "k"], "d", "id", "x", "X", place="p", spread=["k"])
+        assert sorted(got.select(*shown).collect()) == sorted(want.select(*shown).collect())
+
+
 def test_contracts_fan_out_in_many_tasks(spark, tmp_path):
     from spendline.sources.tpch import TpchSource
     spark.range(40).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
