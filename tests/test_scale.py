@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spendline.operators import facts, matching, spend
 from spendline.operators import windows as W
 from spendline.plans.mart import Mart
-from spendline.session import shuffles_dropped
+from spendline.session import shuffles_dropped, small_sides_hashed
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -151,3 +151,26 @@ def test_contracts_fan_out_in_many_tasks(spark, tmp_path):
     spark.range(40).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
     got = TpchSource(spark, str(tmp_path)).contract()
     assert got.rdd.getNumPartitions() > 1 and got.count() == 1000
+
+
+def test_parts_join_before_lines_are_numbered(spark, source):
+    """Two rows of a part repeat its lines, a line without a part is dropped behind the numbering, as before; no task gets more than its rows."""
+    at = dt.datetime(1996, 3, 1)
+    lines = spark.read.parquet(f"{source}/lineitem.parquet")
+    extra = spark.createDataFrame([(1, 99, 7, 0, 1.0, 9.0, 0.0, 0.0, "N", "F", at), (1, None, 7, 1, 1.0, 8.0, 0.0, 0.0, "N", "F", at), (5, 3, 7, 1, 1.0, 8.0, 0.0, 0.0, "N", "F", at)], lines.schema)
+    extra.write.mode("append").parquet(f"{source}/lineitem.parquet")
+    spark.createDataFrame([(4, "Brand#8"), (None, "Brand#9")], "p_partkey long, p_brand string").write.mode("append").parquet(f"{source}/part.parquet")
+    numbered = Mart(spark, source).source.numbered_lines()
+    rows = [(r["l_orderkey"], r["rn"], r["l_partkey"], r["n"]) for r in numbered.collect()]
+    # line 0 of order 1 has an unknown part and the number 1; that without a part has the number 2, order 5 does not exist
+    assert sorted(rows) == [(1, 3, 3, 12), (1, 4, 4, 7), (1, 4, 4, 8), (2, 1, 3, 12), (2, 2, 3, 12)]
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert depth(plan, "Window") < depth(plan, "RepartitionByExpression") < depth(plan, "Join LeftOuter, (l_partkey")
+
+
+def test_hashing_small_sides_is_set_for_the_write_only(spark):
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name)
+    with small_sides_hashed(spark):
+        assert spark.conf.get(name) == "64m"
+    assert spark.conf.get(name) == before
