@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from spendline.operators import facts, matching, spend
+from spendline.operators import facts, matching, scorecard, spend
 from spendline.operators import windows as W
 from spendline.plans.mart import Mart
 from spendline.session import shuffles_dropped, small_sides_hashed
@@ -174,3 +174,25 @@ def test_hashing_small_sides_is_set_for_the_write_only(spark):
     with small_sides_hashed(spark):
         assert spark.conf.get(name) == "64m"
     assert spark.conf.get(name) == before
+
+
+def test_scorecard_parts_are_tables_of_their_own(spark, tmp_path):
+    po = spark.createDataFrame([(True, "S1", 2000, "P1", "P1-1", D("10.00"), D("10.00"), D("0.00"), day(5), D("2.000")), (True, "S1", 2000, "P1", "P1-2", D("5.00"), D("0.00"), D("5.00"), day(5), D("1.000"))],
+                               "SpendEligibilityFlag boolean, POSupplierID string, POYear int, POID string, POItemID string, EligibleSpendEUR decimal(18,2), ContractCompliantSpendEUR decimal(18,2), "
+                               "MaverickSpendEUR decimal(18,2), RequestedDeliveryDate date, Quantity decimal(18,3)")
+    rec = spark.createDataFrame([("P1-1", "G1", D("2.000"), day(7))], "POItemID string, GoodsReceiptID string, QuantityReceived decimal(18,3), ReceiptDate date")
+    inv = spark.createDataFrame([("S2", 2000, "I1", "I1-1", True, False, D("7.00"), D("0.00"), None, True)],
+                                "POSupplierID string, InvoiceYear int, InvoiceID string, InvoiceItemID string, ThreeWayMatchFlag boolean, InvoiceExceptionFlag boolean, GrossAmountEUR decimal(18,2), "
+                                "InvoiceExceptionAmountEUR decimal(18,2), DisputeFlag boolean, DerivedDuplicateInvoiceFlag boolean")
+    supplier = spark.createDataFrame([("S1", "One", "Maker", "X", "Y", True, False, "A", 3, "Active", True)],
+                                     "SupplierID string, SupplierName string, SupplierType string, Country string, Region string, PreferredSupplier boolean, StrategicSupplier boolean, ESGRating string, "
+                                     "FinancialRiskScore int, Status string, SupplierActiveFlag boolean")
+    m = Mart(spark, str(tmp_path))
+    m._tables.update({"silver_po_spend": po, "bronze_goods_receipt": rec, "silver_invoice_matching": inv, "silver_supplier": supplier})
+    got = m["silver_supplier_performance"]
+    assert sorted(p.rsplit("/", 1)[1] for p in glob.glob(f"{m.root}/*")) == ["scorecard_delivery", "scorecard_invoice", "scorecard_spend", "silver_supplier_performance"]
+    whole = scorecard.build_scorecard(po, rec, inv, supplier, "2001-07-31")
+    assert got.columns == whole.columns
+    keep = [c for c in got.columns if "Timestamp" not in c]
+    assert sorted(map(str, got.select(keep).collect())) == sorted(map(str, whole.select(keep).collect()))
+    assert sorted((r["SupplierID"], r["POCount"], r["LateDeliveryPOItemCount"], r["DuplicateInvoiceCount"]) for r in got.collect()) == [("S1", 1, 1, 0), ("S2", 0, 0, 1)]
