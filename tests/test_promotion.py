@@ -77,6 +77,18 @@ def test_last_year_is_untouched_until_the_end(spark, monkeypatch):
         ml.fit_risk(train.where("PerformanceYear = 1999"), store, specs)
 
 
+def test_a_forest_is_grown_by_several_tasks_and_boosting_by_few(spark, monkeypatch):
+    monkeypatch.setattr(ml, "FOREST_ROWS", 50)
+    df = spark.range(400)
+    path = stage_path(spark, "parts")
+    ml._few_parts(df, df).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert rows.count() == 400 and rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    specs = ml.estimators()
+    assert ml._worth(rows, specs["RandomForest"], 400).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
+    assert {ml._worth(rows, specs[n], 400).rdd.getNumPartitions() for n in ("GradientBoosting", "LogisticRegression")} == {1}
+
+
 def test_forest_from_its_table_scores_as_before(spark):
     rng = random.Random(4)
     names = ["x", "y"]
