@@ -4,6 +4,8 @@ import datetime as dt
 import glob
 from decimal import Decimal as D
 
+import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -196,3 +198,72 @@ def test_scorecard_parts_are_tables_of_their_own(spark, tmp_path):
     keep = [c for c in got.columns if "Timestamp" not in c]
     assert sorted(map(str, got.select(keep).collect())) == sorted(map(str, whole.select(keep).collect()))
     assert sorted((r["SupplierID"], r["POCount"], r["LateDeliveryPOItemCount"], r["DuplicateInvoiceCount"]) for r in got.collect()) == [("S1", 1, 1, 0), ("S2", 0, 0, 1)]
+
+
+def test_exact_quantiles_tell_few_values_apart(spark, monkeypatch):
+    """Only values near a quantile are kept apart; with bounds that miss it the answer stays exact."""
+    df = spark.range(20_001).select(F.col("id").cast("double").alias("a"), F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(-F.col("id")).alias("b"))
+    spec = {"q": ("a", 0.5), "r": ("b", 0.9), "s": ("a", 0.99995)}
+    seen, pinned = [], W.reliable
+    monkeypatch.setattr(W, "reliable", lambda x: seen.append(x.count()) or pinned(x))
+    assert W.exact_quantiles(df, spec).first().asDict() == {"q": 10_000.0, "r": 7.0, "s": 19_999.0}
+    assert max(seen) < 1_000
+    monkeypatch.setattr(W, "_around", lambda *_: {"q": (3.0, 9.0), "r": (8.0, None), "s": (None, 5.0)})
+    assert W.exact_quantiles(df, spec).first().asDict() == {"q": 10_000.0, "r": 7.0, "s": 19_999.0}
+
+
+def test_forest_scores_equal_a_walk_from_node_to_node():
+    from spendline.operators import ml
+    rng = np.random.default_rng(5)
+    x, trees, want = rng.normal(size=(300, 4)).round(1), [], np.zeros(300)
+    x[::17, 2] = np.nan
+    for tree, size in enumerate((256, 1, 2, 3, 60)):
+        rows = pd.DataFrame(rng.normal(size=(size, 4)).round(1), columns=list("abcd")).assign(Tree=tree, __h=range(size))
+        nodes = ml._grow(rows, list("abcd"), 42)
+        trees.append(ml._levels(*(nodes[c].to_numpy() for c in ("Node", "Feature", "Split", "Left", "Right", "PathLength"))))
+        by = nodes.set_index("Node")
+        for i, row in enumerate(x):
+            at = 0
+            while by.Feature[at] >= 0:
+                at = by.Left[at] if row[by.Feature[at]] < by.Split[at] else by.Right[at]
+            want[i] += by.PathLength[at]
+    assert (ml._path_sums(trees, x) == want).all() and len(ml._path_sums(trees, x[:0])) == 0
+
+
+def test_price_features_of_one_year_see_the_history_of_all(spark):
+    """The rows of one year are those of the whole table, null keys and repeated rows included; other years travel without their other columns."""
+    from spendline.operators import features
+    names = ["POItemID", "POID", "OrderDate", "SupplierID", "MaterialID", "CategoryID", "ContractID", "Quantity", "UnitPriceEUR", "LineAmountEUR", "ContractPriceVariancePct",
+             "ContractPriceWithinToleranceFlag", "ValidContractAtPOFlag", "HasContractReferenceFlag", "PriceComplianceExceptionFlag", "ContractValidityStatusAtPO"]
+    kinds = "string string date string string string string double decimal(20,6) double double int int int int string".split()
+    rows = [(f"I{k // 2 if k % 40 == 0 else k}", f"P{k}", dt.date(1999 + k % 3, 1 + k % 12, 1 + k % 28), None if k % 11 == 0 else f"S{k % 3}", f"M{k % 4}", None if k % 13 == 0 else f"C{k % 2}",
+             f"K{k}" if k % 5 else None, 1.0 + k, D(10 + k % 17), 5.0 * k, None if k % 7 else float(k), 1, 1, 1, 0, "VALID") for k in range(240)]
+    base = spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in zip(names, kinds))).withColumn("OrderYear", F.year("OrderDate"))
+    whole = features.price_features(None, "2001-12-31", base).where("OrderYear = 2001")
+    one = features.price_features(None, "2001-12-31", base, 2001)
+    assert one.columns == whole.columns and one.count() == 80
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, whole.collect()))
+    assert "CASE WHEN (OrderYear" in one._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_readers_of_few_columns_do_not_ask_for_whole_wide_tables(spark):
+    from spendline.plans import catalog
+    po = spark.createDataFrame([("S1", "C1", 5.0, 1.0), ("S2", "C1", 7.0, 0.0), (None, None, 1.0, None)], "SupplierID string, CategoryID string, EligibleSpendEUR double, MaverickSpendEUR double")
+    inv = spark.createDataFrame([("I1", 2000, True, False, True, 0.0), ("I1", 2000, True, False, False, 3.0), ("I2", 2001, False, True, True, 0.0)],
+                                "InvoiceID string, InvoiceYear int, DisputeFlag boolean, DerivedDuplicateInvoiceFlag boolean, ThreeWayMatchFlag boolean, InvoiceExceptionAmountEUR double")
+
+    class Narrow:
+        def __getitem__(self, name):
+            return {"fact_purchase_order": po, "silver_invoice_matching": inv}[name]
+
+    class Whole:
+        narrow = planned = Narrow()
+
+        def __getitem__(self, name):
+            raise AssertionError(f"{name} is asked for as a whole")
+
+    run = lambda name: [tuple(r) for r in catalog.QUERIES[name].plan(Whole()).collect()]      # noqa: E731
+    assert run("P90_order_desc") == [("S2", 7.0), ("S1", 5.0), (None, 1.0)]
+    assert sorted(run("P63_rollup_flags")) == [(2000, 1, 1, 0), (2001, 1, 0, 1)]
+    assert [r[:3] for r in sorted(run("Q06_annual_match_rate"))] == [(2000, 2, 1), (2001, 1, 1)]
+    assert [r[0] for r in run("Q05_spend_by_category")] == ["C1", None]
