@@ -5,7 +5,8 @@ from collections import Counter
 
 import duckdb
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from spendline.operators import damage, joins, ml, promotion
@@ -77,6 +78,15 @@ def test_last_year_is_untouched_until_the_end(spark, monkeypatch):
         ml.fit_risk(train.where("PerformanceYear = 1999"), store, specs)
 
 
+def test_risk_is_fitted_in_a_session_that_has_observed_something(spark):
+    spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).count()
+    store, train = ModelStore(spark, stage_path(spark, "risk")), risk_rows(spark)
+    common = {"labelCol": ml.LABEL, "featuresCol": "features", "weightCol": "ClassWeight"}
+    specs = {"A": LogisticRegression(maxIter=20, regParam=0.01, **common), "B": RandomForestClassifier(numTrees=3, maxDepth=2, seed=1, **common)}
+    fitted = ml.fit_risk(train, store, specs, folds=2)
+    assert ml.stored_fold_scores(store, fitted.key).groupBy("ModelName").count().count() == 2 and fitted.test.count() == 40
+
+
 def test_a_forest_is_grown_by_several_tasks_and_boosting_by_few(spark, monkeypatch):
     monkeypatch.setattr(ml, "FOREST_ROWS", 50)
     df = spark.range(400)
